@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, urls
+from . import exact, mixing, tokenfile, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +28,20 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
-QUERIES = {"op2_exact_dedup": op2_exact_dedup, "op3_url_filters": op3_url_filters, "op4_mixing": op4_mixing}
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    manifest = tokenfile.write_tokens(docs, tokenfile.tokens_folder(spark), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return tokenfile.read_tokens(manifest)
+
+
+QUERIES = {
+    "op10_token_files": op10_token_files,
+    "op2_exact_dedup": op2_exact_dedup,
+    "op3_url_filters": op3_url_filters,
+    "op4_mixing": op4_mixing,
+}
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
