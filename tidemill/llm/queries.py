@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, tokenfile, urls
+from . import exact, mixing, quality, tokenfile, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,16 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = toxicity.toxicity(docs, toxicity.with_poor(table(spark, sf_dir, "labels")))
+    return judged.drop("text").withColumn("kept", ~F.col("toxic"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -41,6 +51,8 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
+    "op5_quality_rules": op5_quality_rules,
+    "op8_toxicity": op8_toxicity,
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
