@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, quality, tokenfile, toxicity, urls
+from . import exact, mixing, pieces, quality, tokenfile, toxicity, urls
+
+try:  # vocabulary files are parameters; these are the box's
+    import public_tokenizers
+
+    TOKENIZER, BYTE_BPE = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
+except ImportError:
+    TOKENIZER, BYTE_BPE = "/opt/tokenizers/piece_bpe_32k.model", "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,11 +45,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text").withColumn("kept", ~F.col("toxic"))
 
 
-def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER)
+
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    manifest = tokenfile.write_tokens(docs, tokenfile.tokens_folder(spark), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    manifest = tokenfile.write_tokens(docs, tokenfile.tokens_folder(spark), BYTE_BPE, end_id=2)
     return tokenfile.read_tokens(manifest)
 
 
@@ -53,6 +62,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op8_toxicity": op8_toxicity,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
