@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, pieces, quality, tokenfile, toxicity, urls
+from . import exact, mixing, neardup, pieces, quality, tokenfile, toxicity, urls
 
 try:  # vocabulary files are parameters; these are the box's
     import public_tokenizers
@@ -19,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op10_token_files": op10_token_files,
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
