@@ -4,23 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import exact, mixing
+from tidemill.llm import exact, mixing, neardup, pieces, toxicity
+from tidemill.llm.queries import TOKENIZER
 from tidemill.llm.shared import stage
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain does not mark; the chain is fitted on the labelled ones."""
+    labels = toxicity.with_poor(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.toxicity(docs, labels).where("not toxic").select(*docs.columns)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
     return exact.drop_exact(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by shingle similarity of 0.8 or more."""
+    return neardup.drop_near(docs, percent=80)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of documents as the mix takes them, in training order."""
     return mixing.mix(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("mix_sources", mix_sources)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text in the mix."""
+    return pieces.encode(docs, TOKENIZER)
+
+
+STAGES = [("toxicity", drop_toxic), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mix_sources", mix_sources), ("encode", encode)]
 
-#: Stages with learned models can't be expressed in SQL; tests hold them against brute force.
+#: Learned models and hash forests have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, neardup, pieces, quality, repeats, tokenfile, toxicity, urls
+from . import exact, mixing, neardup, passages, pieces, quality, repeats, tokenfile, toxicity, urls
 
 try:  # vocabulary files are parameters; these are the box's
     import public_tokenizers
@@ -43,6 +43,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_report(table(spark, sf_dir, "documents"))
+
+
 def op7_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.cut(repeats.repeated_spans(table(spark, sf_dir, "documents")))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -71,6 +75,7 @@ QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
+    "op6_fuzzy_passages": op6_fuzzy_passages,
     "op7_long_repeats": op7_long_repeats,
     "op8_toxicity": op8_toxicity,
     "op9_sentencepiece": op9_sentencepiece,
