@@ -251,10 +251,12 @@ def thread_clean(c: Column) -> Column:
     and lines of numbers only.  Null stays null."""
     units, x = "giờ|phút|ngày|tuần|tháng|năm", c
     after = (rf"^\d+\s+({units})(?:\s*\n|\s*·|\s*$)", r"^(\d{1,2}/\d{1,2}/\d{2,4})(?:\s*\n|\s*·|\s*$)", r"(?:^|\n)\s*·\s*\n?\s*Tác giả\s*\n", r"(?:^|\n)\s*Tác giả\s*\n", r"^Đã ghim\s*\n")
+    def skip(v: Column, p: str) -> Column:
+        rest = trim(F.regexp_extract(v, rf"(?isu)(?:{p})(.*)$", 2 if p.startswith(("^\\d", "^(\\d")) else 1))
+        return let(rest, lambda r: F.when(r != "", r).otherwise(v))
+
     for p in after:
-        at = 2 if p.startswith(("^\\d", "^(\\d")) else 1
-        rest = lambda v, p=p, at=at: trim(F.regexp_extract(v, rf"(?isu)(?:{p})(.*)$", at))
-        x = let(x, lambda v, rest=rest: let(rest(v), lambda r: F.when(r != "", r).otherwise(v)))
+        x = let(x, lambda v: skip(v, p))  # noqa: B023  used at once
     whole = trim(F.regexp_extract(c, rf"(?isu)(?:\d+\s+(?:{units})|\d{{1,2}}/\d{{1,2}}/\d{{2,4}})\s*\n?\s*(?:·\s*\n?\s*Tác giả\s*\n)?(.*)", 1))
     x = let(x, lambda v: F.when(v != c, v).otherwise(let(whole, lambda w: F.when(w != "", w).otherwise(v))))
     for p in (r"\s*[\d.,]+K\s*$", r"\s*\d+\s*[,.:]\s*\d+\s*K\s*$", r"\s+\d+\s*$", r"\s*\d+(?:\s*[,.\s]\s*\d+)*\s*$"):
