@@ -17,7 +17,10 @@ BITS = 16
 #: Labelled trusted documents that the target multinomial is fitted on, at most: the smallest hashes.
 FIT_ROWS = 20_000
 #: Mean log ratio per n-gram below which a document goes.
-THRESHOLD = -0.22
+THRESHOLD = -0.17
+#: How many trusted n-grams at the corpus's rate every bucket has beforehand: a bucket that is rare in
+#: the corpus says little by its absence from the trusted text.
+PRIOR = 5.0
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
@@ -50,8 +53,8 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
 
 
 def log_ratios(counts: DataFrame) -> np.ndarray:
-    """Log ratio of the two smoothed multinomials for each bucket, zeros without trusted text.  The
-    table has 2^(BITS + 1) rows at most."""
+    """Log ratio of the trusted to the corpus multinomial for each bucket, drawn towards 0 by PRIOR; zeros
+    without trusted text.  The table has 2^(BITS + 1) rows at most."""
     raw, target = np.zeros(2 << BITS), np.zeros(2 << BITS)
     for k, r, t in counts.collect():
         raw[k], target[k] = r, t
@@ -59,7 +62,7 @@ def log_ratios(counts: DataFrame) -> np.ndarray:
     for half in (slice(0, 1 << BITS), slice(1 << BITS, None)):
         a, b = target[half], raw[half]
         if a.sum():
-            out[half] = np.log((a + 1) / (a.sum() + len(a))) - np.log((b + 1) / (b.sum() + len(b)))
+            out[half] = np.log((a + PRIOR) / (b * (a.sum() / b.sum()) + PRIOR))
     return out
 
 
