@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
@@ -26,10 +27,11 @@ THRESHOLD = 0.5
 _WORD = re.compile(r"\w+")
 
 
-def terms(text: str) -> set[str]:
-    """Distinct lower-cased words, and the beginnings of longer ones, of a whole text."""
+def terms(text: str) -> np.ndarray:
+    """Sorted hashes of the distinct lower-cased words, and of the beginnings of longer ones, of a whole text."""
     words = set(_WORD.findall(text.lower()))
-    return words | {w[:STEM] + "-" for w in words if len(w) > STEM}
+    words |= {w[:STEM] + "-" for w in words if len(w) > STEM}
+    return np.sort(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
 
 
 def _sigmoid(z):
@@ -37,11 +39,7 @@ def _sigmoid(z):
 
 
 class Sparse:
-    """Rows of feature numbers with value 1."""
-
-    def __init__(self, rows: list[np.ndarray]):
-        self.n, self.cols = len(rows), np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
-        self.rows = np.repeat(np.arange(self.n), np.fromiter(map(len, rows), np.int64, self.n))
+    """Rows of feature numbers with value 1: parallel arrays rows and cols, and n rows in all."""
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.rows, w[self.cols], self.n)
@@ -70,27 +68,32 @@ def fit_linear(x: Sparse, extra: np.ndarray, y: np.ndarray, size: int, steps: in
     return w
 
 
-def fit_chain(rows: list[set[str]], labels: np.ndarray, folds: int = FOLDS) -> dict:
+def _features(seen: np.ndarray, rows: list[np.ndarray]) -> Sparse:
+    """Each row's terms that the model knows, as places in seen (sorted)."""
+    flat = np.concatenate([*rows, np.zeros(0, np.uint64)])
+    at = np.searchsorted(seen, flat)
+    on = seen[np.minimum(at, len(seen) - 1)] == flat if len(seen) else np.zeros(len(flat), bool)
+    out = object.__new__(Sparse)
+    out.n, out.cols = len(rows), at[on]
+    out.rows = np.repeat(np.arange(len(rows)), np.fromiter(map(len, rows), np.int64, len(rows)))[on]
+    return out
+
+
+def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: int = FOLDS) -> dict:
     """labels: a 0/1 column for each category, in chain order.  Each model sees the words and the earlier
     categories' probabilities; in training those come from models that did not see the document."""
-    seen: dict[str, np.ndarray] = {}
-    sums = labels.sum(0) if len(rows) else np.zeros(labels.shape[1])
-    count: dict[str, list[int]] = {}
-    for row, y in zip(rows, labels.tolist(), strict=True):
-        for t in row:
-            c = count.setdefault(t, [0] * (len(y) + 1))
-            c[0] += 1
-            for j, z in enumerate(y):
-                c[j + 1] += z
-    rates = sums / max(len(rows), 1)
-    usual = [(t, c) for t, c in count.items() if c[0] >= LEAST]
-    chosen: set[str] = set()
-    for j, p in enumerate(rates):
+    known, number = np.unique(np.concatenate([*rows, np.zeros(0, np.uint64)]), return_inverse=True)
+    owner = np.repeat(np.arange(len(rows)), np.fromiter(map(len, rows), np.int64, len(rows)))
+    count, chosen = np.bincount(number, minlength=len(known)), np.zeros(len(known), bool)
+    for j in range(labels.shape[1]):
+        p = labels[:, j].mean() if len(rows) else 0.0
         if 0 < p < 1:
-            scored = sorted(((-abs(c[j + 1] - c[0] * p) / (c[0] * p * (1 - p)) ** 0.5, t) for t, c in usual))
-            chosen.update(t for _, t in scored[: FEATURES // len(rates)])
-    seen = {t: i for i, t in enumerate(sorted(chosen))}
-    x = Sparse([np.array(sorted(seen[t] for t in row if t in seen), np.int64) for row in rows])
+            hits = np.bincount(number, labels[owner, j], len(known))
+            pull = np.where(count >= LEAST, np.abs(hits - count * p) / np.sqrt(np.maximum(count, 1) * p * (1 - p)), -1.0)
+            best = np.argsort(-pull, kind="stable")[: FEATURES // labels.shape[1]]
+            chosen[best[pull[best] >= 0]] = True
+    seen = known[chosen]
+    x = _features(seen, rows)
     fold = np.arange(len(rows)) % folds
     extra, models = np.zeros((len(rows), 0)), []
     for j in range(labels.shape[1]):
@@ -106,10 +109,9 @@ def fit_chain(rows: list[set[str]], labels: np.ndarray, folds: int = FOLDS) -> d
     return {"seen": seen, "models": models}
 
 
-def chain_scores(model: dict, rows: list[set[str]]) -> np.ndarray:
+def chain_scores(model: dict, rows: list[np.ndarray]) -> np.ndarray:
     """Probabilities of each category, in chain order."""
-    seen, size = model["seen"], len(model["seen"])
-    x = Sparse([np.array(sorted(seen[t] for t in row if t in seen), np.int64) for row in rows])
+    size, x = len(model["seen"]), _features(model["seen"], rows)
     out = np.zeros((len(rows), 0))
     for w in model["models"]:
         out = np.column_stack([out, _sigmoid(x.dot(w[:size]) + out @ w[size:-1] + w[-1])])
@@ -117,21 +119,21 @@ def chain_scores(model: dict, rows: list[set[str]]) -> np.ndarray:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """Fits the chain on at most fit_rows labelled documents.  Tasks turn whole texts into terms and keep
-    a digest of the distinct ones; labels of several rows for one id count once, the largest."""
+    """Fits the chain on at most fit_rows labelled documents.  Tasks turn whole texts into terms and return
+    hashes of the distinct ones; labels of several rows for one id count once, the largest."""
     picked = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(*(F.max(F.coalesce(F.col(c).cast("int"), F.lit(0))).alias(c) for c in categories))
     picked = smallest_hashes(picked, fit_rows, id_col)
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(F.broadcast(picked), id_col)
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [" ".join(sorted(terms(x))) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts), *(b.column(i + 2) for i in range(len(categories)))], ["id", "terms", *categories])
+            found = [terms(x).tobytes() for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary()), *(b.column(i + 2) for i in range(len(categories)))], ["id", "terms", *categories])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    got = rows.mapInArrow(read, ", ".join([f"id {id_type}", "terms string", *(f"{c} int" for c in categories)]))
-    got = sorted(map(tuple, got.collect()), key=lambda r: (r[0], r[1]))
-    return fit_chain([set(r[1].split()) for r in got], np.array([r[2:] for r in got], np.int64).reshape(len(got), len(categories)))
+    got = rows.mapInArrow(read, ", ".join([f"id {id_type}", "terms binary", *(f"{c} int" for c in categories)]))
+    got = sorted((tuple(r) for r in got.toLocalIterator()), key=lambda r: (r[0], bytes(r[1])))
+    return fit_chain([np.frombuffer(r[1], np.uint64) for r in got], np.array([r[2:] for r in got], np.int64).reshape(len(got), len(categories)))
 
 
 def score_toxicity(docs: DataFrame, model: dict, categories: tuple[str, ...], threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
@@ -163,7 +165,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = (
     the fit; repeated rows are judged alike; columns named like the added ones are replaced.
     """
     model = fit_toxicity(docs, labels, categories, fit_rows, id_col, text_col)
-    if not model["seen"]:  # nothing to tell the classes apart by
+    if not len(model["seen"]):  # nothing to tell the classes apart by
         return score_toxicity(docs, model, categories, 2.0, text_col)
     return score_toxicity(docs, model, categories, threshold, text_col)
 
