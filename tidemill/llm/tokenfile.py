@@ -8,6 +8,7 @@ A reader fetches the tail, then decompresses only the frames that hold the docum
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -29,11 +30,15 @@ SKIP_INDEX, SKIP_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: A frame is closed at the first document end after so many ids.
 FRAME_IDS = 1 << 16
 #: Pieces of text whose ids a worker remembers, at most; then it starts afresh.
-CACHE = 400_000
+CACHE = 1_200_000
 
-_PIECE = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+", re.A)
-#: White space beyond ASCII, and how special tokens begin.
-_WHOLE = re.compile("[" + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]|<\\|")
+#: Where the byte-level pattern surely breaks: Latin letters before ASCII, ASCII marks but the apostrophe
+#: before a letter, digit or space, any run up to white space, and white space as the pattern takes it.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_LETTERS = re.compile(rf" ?[{_LATIN}]+")
+_PIECE = re.compile(rf" ?[{_LATIN}]++(?=[\x00-\x7f]|\Z)| ?[!-&(-/:-@\[-`{{-~]++(?=[A-Za-z0-9\s]|\Z)| ?[^\s]+|\s+(?!\S)|\s+", re.A)
+#: White space beyond ASCII.
+_SPACES = re.compile("[" + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
 
 
 def open_path(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -43,8 +48,8 @@ def open_path(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
 class PieceEncoder:
     """Ids of whole texts by the tokenizers library, which encodes each distinct piece once.
 
-    The byte-level pattern always breaks a text before a single space and around other white space;
-    between such places the library sees the same characters either way.  Texts with white space
+    The byte-level pattern always breaks a text at the ends of the pieces that _PIECE finds; between them
+    the library sees the same characters either way.  Texts with white space
     beyond ASCII or with marks of special tokens go to the library whole.
     """
 
@@ -53,23 +58,37 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.known: dict[str, bytes] = {}
+        parts = json.loads(self.tokenizer.to_str())
+        split = parts["pre_tokenizer"] or {}
+        if parts["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex"):
+            raise ValueError("only byte-level tokenizers without a normaliser or prefix space")
+        self.ids = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
+        spare = (c for c in range(256, 512))
+        self.marks = {b: b if 33 <= b < 127 or 161 <= b < 173 or 174 <= b else next(spare) for b in range(256)}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def _pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Runs of letters go straight to the library's merges, in its byte alphabet; others go through
+        all its steps."""
+        whole, merge, ids = [], self.tokenizer.model.tokenize, self.ids
+        for p in pieces:
+            if _LETTERS.fullmatch(p):
+                yield p, b"".join([ids[t.id] for t in merge(p.encode().decode("latin-1").translate(self.marks))])
+            else:
+                whole.append(p)
+        yield from zip(whole, self._library(whole), strict=True)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        for text in texts:
-            if _WHOLE.search(text):
-                yield self._library([text])[0]
-                continue
-            pieces = _PIECE.findall(text)
-            missing = list(set(pieces).difference(self.known))
-            if len(self.known) + len(missing) > CACHE:
-                self.known = {}
-                missing = list(set(pieces))
-            self.known.update(zip(missing, self._library(missing), strict=True))
-            yield b"".join(map(self.known.__getitem__, pieces))
+        pieces = [None if "<|" in x or not x.isascii() and _SPACES.search(x) else _PIECE.findall(x) for x in texts]
+        distinct = set().union(*filter(None, pieces))
+        missing = distinct.difference(self.known)
+        if len(self.known) + len(missing) > CACHE:
+            self.known, missing = {}, distinct
+        self.known.update(self._pieces(list(missing)))
+        return [self._library([x])[0] if p is None else b"".join(map(self.known.__getitem__, p)) for x, p in zip(texts, pieces, strict=True)]
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -83,7 +102,7 @@ def encoder(file: str) -> PieceEncoder:
 
 def write_shard(out, docs: Iterable[tuple[int | None, bytes]], frame_ids: int = FRAME_IDS) -> tuple[int, int]:
     """Writes (doc_id, ids) in the order given to a binary stream; returns documents and ids written."""
-    press = zstandard.ZstdCompressor(level=3, write_checksum=True)
+    press = zstandard.ZstdCompressor(level=1, write_checksum=True)
     table, held, size, total = [], [], 0, 0
     index: list[tuple[int, int, int, int]] = []  # id, null, ids, frame
 
