@@ -16,10 +16,11 @@ from .shared import smallest_hashes
 
 #: Labelled documents that the chain is fitted on, at most: those with the smallest hashes.
 FIT_ROWS = 12_000
-#: Words and word beginnings that the linear models see, at most.
-FEATURES = 4_000
+#: Words and word beginnings that the linear models see, at most; and at most one for so many documents
+#: of the fit, for with more of them few labels are learned by heart.
+FEATURES, ROWS_A_FEATURE = 800, 8
 #: A feature is considered from so many labelled documents on.
-LEAST = 4
+LEAST = 3
 STEM = 5
 FOLDS = 3
 THRESHOLD = 0.5
@@ -53,7 +54,7 @@ class Sparse:
         return out
 
 
-def fit_linear(x: Sparse, extra: np.ndarray, y: np.ndarray, size: int, steps: int = 150, l2: float = 1e-4) -> np.ndarray:
+def fit_linear(x: Sparse, extra: np.ndarray, y: np.ndarray, size: int, steps: int = 150, l2: float = 1e-3) -> np.ndarray:
     """Logistic regression by Adam over whole passes, both classes weighing the same.  The weights are
     size word weights, one for each column of extra, and the constant."""
     k = extra.shape[1]
@@ -90,7 +91,7 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: int = FOLDS) ->
         if 0 < p < 1:
             hits = np.bincount(number, labels[owner, j], len(known))
             pull = np.where(count >= LEAST, np.abs(hits - count * p) / np.sqrt(np.maximum(count, 1) * p * (1 - p)), -1.0)
-            best = np.argsort(-pull, kind="stable")[: FEATURES // labels.shape[1]]
+            best = np.argsort(-pull, kind="stable")[: min(FEATURES, max(40, len(rows) // ROWS_A_FEATURE)) // labels.shape[1]]
             chosen[best[pull[best] >= 0]] = True
     seen = known[chosen]
     x = _features(seen, rows)
