@@ -14,6 +14,7 @@ WEIGHTS = (1.0, 2.0, 3.0)
 #: How the weight of each class runs over equal phases of training; each row has mean 1.
 PHASES = ((1.5, 1.0, 0.5), (1.0, 1.0, 1.0), (0.5, 1.0, 1.5))
 MAX_REPEAT = 3
+ADDED = ("size", "source_size", "target", "positions")
 
 
 def targets(sources: DataFrame, weights=WEIGHTS, phases=PHASES, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -58,8 +59,9 @@ def curriculum(docs: DataFrame, source_col: str = "source", text_col: str = "tex
     start, so the running sum inside a bucket is all that a task sees.
 
     Null text has size 0; null source is one source, last in order; null ids and repeated rows are
-    rows like any other; empty tables stay empty.  docs may not have the columns that are added.
+    rows like any other; empty tables stay empty; columns of docs named like the added ones are replaced.
     """
+    docs = docs.drop(*ADDED)
     key = {"_none": F.col(source_col).isNull(), "_src": F.coalesce(F.col(source_col).cast("string"), F.lit("")), "size": word_count(F.col(text_col)), "_h": F.xxhash64(F.col(id_col))}
     rows = docs.withColumns(key).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)).cast("int"))
     sums = rows.groupBy("_none", "_src", "_b").agg(F.sum("size").alias("_bsize"))
