@@ -188,3 +188,20 @@ def test_streams(spark, tmp_path):
     assert sorted((r.id, r.admitted) for r in spark.read.parquet(str(tmp_path / "q")).collect()) == [(1, True), (2, True), (3, False)]
     streams.drain(streams.dedup(stream()), str(tmp_path / "d"), str(tmp_path / "dc")).awaitTermination(120)  # nothing new
     assert spark.read.parquet(str(tmp_path / "d")).count() == 2
+
+
+def test_key_pool():
+    from tidemill.operators.throttle import KeyPool
+
+    t = datetime.datetime(2024, 1, 1, 10, 0, 20)
+    pool = KeyPool(["key-aaaa", "key-bbbb"], per_minute=2, per_day=3)
+    assert [pool.take(t) for _ in range(5)] == ["key-aaaa"] * 2 + ["key-bbbb"] * 2 + [None]
+    assert pool.wait_seconds(t) == 45 and pool.take(t + datetime.timedelta(seconds=45)) == "key-bbbb"
+    pool.rotate()
+    assert pool.take(t + datetime.timedelta(seconds=46)) == "key-aaaa"
+    now = [t + datetime.timedelta(seconds=50)]
+    with pytest.raises(RuntimeError):
+        pool.acquire(lambda: now[0], lambda s: None)
+    assert pool.usage() == [("aaaa", 1, 3), ("bbbb", 1, 3)] and pool.take(t + datetime.timedelta(days=1)) is not None
+    gap = KeyPool(["k"], 1, 9, tumbling=False)
+    assert gap.take(t) and gap.take(t + datetime.timedelta(seconds=59)) is None and gap.take(t + datetime.timedelta(seconds=61))

@@ -56,6 +56,11 @@ def top(df: DataFrame, order: list[Column], n: int = 3) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def tail(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """The last n rows by a key, in its order."""
+    return df.orderBy(F.desc(key)).limit(n).orderBy(key)
+
+
 def sequence(df: DataFrame, group: str, order: list[Column], name: str = "seq") -> DataFrame:
     """1, 2, ... inside each group."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
