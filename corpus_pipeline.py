@@ -12,7 +12,7 @@ from tidemill.llm.shared import stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not mark; the chain is fitted on the labelled ones."""
     labels = toxicity.with_poor(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.toxicity(docs, labels).where("not toxic").select(*docs.columns)
+    return toxicity.drop_toxic(docs, labels)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -464,3 +464,21 @@ def test_pipeline(spark):
     assert {r.doc_id for r in after.collect()} <= {r.doc_id for r in before.collect()}
     assert seen["encode"][1].count() == seen["encode"][0].count() and seen["encode"][1].where("not round_trip").count() == 0
     assert P.run(spark, DATA).count() == seen["encode"][1].count()
+
+
+def test_pipeline_odd(spark, odd):
+    import corpus_pipeline as P
+
+    from tidemill.llm.shared import stage
+
+    docs = odd.withColumn("toxic", F.lit("kept as it is"))
+    for name, step in P.STAGES:
+        columns = docs.columns
+        docs = stage(step(spark, docs, DATA), name)
+        if name != "encode":
+            assert docs.columns == columns and docs.where("toxic <> 'kept as it is'").isEmpty()
+    assert docs.count() > 0
+    empty = odd.limit(0)
+    for name, step in P.STAGES:
+        empty = stage(step(spark, empty, DATA), name)
+        assert empty.count() == 0

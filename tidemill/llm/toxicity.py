@@ -171,6 +171,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = (
     return score_toxicity(docs, model, categories, threshold, text_col)
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("poor", "toxic"), id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs that toxicity() does not mark, with all their columns whatever their names."""
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    of = dict(zip(docs.columns, names, strict=True))
+    judged = toxicity(docs.toDF(*names), labels.withColumnRenamed(id_col, of[id_col]), categories, id_col=of[id_col], text_col=of[text_col], **options)
+    return judged.where(~F.col("toxic")).select(*names).toDF(*docs.columns)
+
+
 def with_poor(labels: DataFrame) -> DataFrame:
     """The label table's two categories in chain order: poor (quality 0), then toxic."""
     return labels.select("doc_id", (F.col("quality") == 0).cast("int").alias("poor"), "toxic")
