@@ -15,7 +15,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 from .shared import smallest_hashes
 
 #: Labelled documents that the chain is fitted on, at most: those with the smallest hashes.
-FIT_ROWS = 12_000
+FIT_ROWS = 8_000
 #: Words and word beginnings that the linear models see, at most; and at most one for so many documents
 #: of the fit, for with more of them few labels are learned by heart.
 FEATURES, ROWS_A_FEATURE = 800, 8
