@@ -75,6 +75,13 @@ def test_text_random(spark, texts):
     assert [(r.m, r.s) for r in sorted(rows)] == [(minimal(t), seven(t)) for t in texts]
 
 
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "b.", ".com", "com", ".vn", "/", "www.", "http://", " ", "\n", ".co", "é", "x.org/", "https:"]), max_size=12).map("".join), min_size=60, max_size=60))
+def test_urls_random(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1).select("i", T.strip_urls(F.col("t")).alias("x")).collect()
+    assert [r.x for r in sorted(rows)] == [re.sub(T.URL, " ", t) for t in texts]
+
+
 def test_idempotent(spark):
     df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
     for f in (T.collapse, T.squeeze, T.strip_punct):

@@ -16,6 +16,9 @@ from .. import rules
 #: White space as Python takes it: Java's Unicode class and four separators it lacks.
 SPACE = r"[\s\x1c-\x1f]"
 URL = r"https?://\S+|www\.\S+|\S+\.(com|org|net|co|vn|io)(/\S*)?"
+#: The same matches: where a bare domain is in a word, it is found from the word's first character on, so
+#: the later ones need no try.
+_URL = r"https?://\S+|www\.\S+|(?<!\S)\S+\.(com|org|net|co|vn|io)(/\S*)?"
 ORPHAN = "(?<!\\w)[\\^'`~\",.]+(?!\\w)"
 VIDEO_URL = r"(https?://\S+)|(www\.\S+)|(\S+\.(com|org|net|edu|gov|io|co|tv|me|ly|be|gl)\S*)"
 
@@ -65,7 +68,7 @@ def lower(c: Column) -> Column:
 
 
 def strip_urls(c: Column, by: str = " ") -> Column:
-    return sub(text(c), URL, by)
+    return sub(text(c), _URL, by)
 
 
 def strip_giphy(c: Column, by: str = "") -> Column:

@@ -32,7 +32,8 @@ def query(sql: str | None = None):
 
 
 def read(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    rows = spark.read.parquet(f"{d}/{name}.parquet")
+    return readers.spread(rows) if name == "documents" else rows
 
 
 def comments(spark: SparkSession, d: str) -> DataFrame:

@@ -64,6 +64,13 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(fix_breaks(F.col("value")).alias("value"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer pieces than there are cores, dealt out to all of them: text functions are worth the
+    shuffle.  Larger inputs have pieces enough and stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stage_path(root: str, version: str, stage: str, file: str = "") -> str:
     return "/".join(x for x in (root.rstrip("/"), version, stage, file) if x)
 
