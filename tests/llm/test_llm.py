@@ -263,6 +263,23 @@ def test_passages(spark):
     assert passages.passage_report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_passages_behind_quotes(spark):
+    """The first and the last earlier document of every seed hold quotes too short for a passage."""
+    from tidemill.llm import passages
+
+    rng = np.random.default_rng(12)
+    word = lambda n: [f"t{x}" for x in rng.integers(0, 10**9, n)]
+    rows, full = [], {}
+    for case in range(4):
+        shared = word(80)
+        for own in (shared[:45], shared[35:], shared, shared[:45], shared[35:], shared):
+            rows.append((len(rows), " ".join(word(70) + own + word(70))))
+        full[len(rows) - 1] = len(rows) - 4
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end, s.partner) for s in r.spans or []] for r in passages.passage_report(df).collect()}
+    assert got == {i: [(70, 150, full[i])] if i in full else [] for i, _ in rows}
+
+
 def test_chain_matches_brute_force():
     from tidemill.llm import passages
 
