@@ -280,6 +280,31 @@ def test_passages_behind_quotes(spark):
     assert got == {i: [(70, 150, full[i])] if i in full else [] for i, _ in rows}
 
 
+def test_passages_at_the_threshold(spark):
+    """Passages with every 8th or every 5th word changed, and with a fifth of the words changed anywhere."""
+    from tidemill.llm import passages
+    from tidemill.llm.words import Words
+
+    rng = np.random.default_rng(13)
+    word = lambda n: [f"t{x}" for x in rng.integers(0, 10**9, n)]
+    rows = []
+    for step in [8] * 5 + [5] * 5:
+        shared = word(100)
+        other = [f"u{x}" if i % step == step - 1 else x for i, x in enumerate(shared)]
+        rows += [(len(rows), " ".join(word(50) + shared + word(50))), (len(rows) + 1, " ".join(word(60) + other + word(60)))]
+    got = {r.doc_id: r.n_removed for r in passages.passage_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] >= 90 if i % 2 else got[i] == 0 for i in got)
+    hit = 0
+    for _ in range(300):
+        x = word(50)
+        y = list(x)
+        for i in rng.choice(50, 10, replace=False):
+            y[i] = "zz"
+        doc, _, h = passages.seeds(Words([" ".join(x).encode(), " ".join(y).encode()], lower=True))
+        hit += bool(set(h[doc == 0].tolist()) & set(h[doc == 1].tolist()))
+    assert hit >= 0.96 * 300
+
+
 def test_chain_matches_brute_force():
     from tidemill.llm import passages
 
