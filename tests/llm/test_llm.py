@@ -305,6 +305,19 @@ def test_passages_at_the_threshold(spark):
     assert hit >= 0.96 * 300
 
 
+def test_passages_that_stand_twice(spark):
+    from tidemill.llm import passages
+
+    rng = np.random.default_rng(14)
+    word = lambda n: [f"t{x}" for x in rng.integers(0, 10**9, n)]
+    shared = word(80)
+    rows = [(1, word(20) + shared + word(20)), (2, shared + word(80) + shared), (3, shared[:45] + word(90) + shared[:70] + word(9)), (4, word(60) + ["a", "b"] * 60 + word(5)), (5, word(9) + ["a", "b"] * 60)]
+    got = {r.doc_id: r for r in passages.passage_report(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()}
+    assert [(s.start, s.end) for s in got[2].spans] == [(0, 80), (160, 240)] and got[2].n_passages == 2 and got[2].n_removed == 160
+    assert {(s.start, s.end) for s in got[3].spans} == {(135, 205)} and got[3].n_removed == 70
+    assert got[5].n_removed == 120 and got[1].n_passages == got[4].n_passages == 0
+
+
 def test_chain_matches_brute_force():
     from tidemill.llm import passages
 
