@@ -108,6 +108,21 @@ def test_near_group_of_variants(spark):
         assert got == dict(enumerate(components(texts, 85)[1]))
 
 
+def test_near_pairs_inside_one_large_region(spark):
+    """Pairs of a family that are linked with nothing else, the family's first document included."""
+    from tidemill.llm import neardup
+
+    base = [f"w{i}" for i in range(3000)]
+    texts = []
+    for g in range(24):
+        own = [*base[: 100 * g + 50], f"g{g}", *base[100 * g + 51 :]]
+        texts += [" ".join(own), " ".join([*own[:-1], "end"])]
+    texts = texts[::2] + texts[1::2]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_groups(df, percent=99.9, limit=6).collect()}
+    assert got == {i: i % 24 for i in range(48)} == dict(enumerate(components(texts, 99.9)[1]))
+
+
 def test_exact(spark, odd):
     from tidemill.llm import exact
 

@@ -132,10 +132,20 @@ def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, n_shingles long, d0 long, d1 long, keys array<long>")
 
 
+def _blocks(groups: DataFrame, limit: int) -> DataFrame:
+    """groups: id, key, n (size of the group).  id, place: a group over the limit is dealt into shares of
+    half the limit, and every two shares are one place, so that all its pairs meet."""
+    k = F.when(F.col("n") > limit, F.ceil(2 * F.col("n") / limit)).otherwise(1).cast("int")
+    rows = groups.withColumn("k", k).withColumn("share", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda t: (F.col("k") == 1) | (t != F.col("share")))
+    rows = rows.select("id", "key", "share", F.explode(others).alias("t"))
+    return rows.select("id", F.concat_ws(".", "key", F.least("share", "t"), F.greatest("share", "t")).alias("place"))
+
+
 def _regions(rows: DataFrame, limit: int) -> DataFrame:
     """rows: id, d0, d1, text of documents in large clusters.  Gives id, d0, d1, text, place: for each
     tree the shallowest region with at most limit documents.  A region too large at the last depth is
-    dealt out, with its first document in every share as their common neighbour."""
+    compared block by block."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, part in chunks(batches, 1):
@@ -151,17 +161,13 @@ def _regions(rows: DataFrame, limit: int) -> DataFrame:
     left, found = own, None
     for level, k in enumerate(names):
         last = level + 1 == len(names)
-        sizes = left.groupBy(F.col(k).alias("key")).agg(F.count("*").alias("n"), F.min("id").alias("head")).where("n > 1")
+        sizes = left.groupBy(F.col(k).alias("key")).agg(F.count("*").alias("n")).where("n > 1")
         here = left.withColumn("key", F.col(k)).join(sizes, "key")
-        if last:
-            share = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / limit)).cast("int")
-            heads = sizes.select("key", F.col("head").alias("id"), F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / limit) - 1).cast("int"))).alias("share"))
-            ready = here.select("id", "key", share.alias("share")).union(heads.select("id", "key", "share")).distinct()
-        else:
-            ready = here.where(F.col("n") <= limit).select("id", "key", F.lit(0).alias("share"))
+        ready = (here if last else here.where(F.col("n") <= limit)).select("id", "key", "n")
+        if not last:
             left = stage(here.where(F.col("n") > limit).select("id", *names), "regions")
         found = ready if found is None else found.union(ready)
-    places = found.select("id", F.concat_ws(".", "key", "share").alias("place"))
+    places = _blocks(found, limit)
     return rows.join(places, "id").select("id", "d0", "d1", "text", "place")
 
 
