@@ -123,6 +123,21 @@ def test_near_pairs_inside_one_large_region(spark):
     assert got == {i: i % 24 for i in range(48)} == dict(enumerate(components(texts, 99.9)[1]))
 
 
+def test_near_pairs_at_the_threshold_in_large_clusters(spark):
+    """A limit under the size of every cluster loses no pair."""
+    from tidemill.llm import neardup
+
+    rng = np.random.default_rng(15)
+    texts = []
+    for g in range(60):
+        w = [f"g{g}_{i}" for i in range(400)]
+        texts += [" ".join(w), " ".join(["x" if i % 44 == 20 else x for i, x in enumerate(w)])]
+    assert components(texts, 79)[1] == [i - i % 2 for i in range(120)]
+    df = spark.createDataFrame([(i, texts[i]) for i in rng.permutation(120).tolist()], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_groups(df, percent=79, limit=1).collect()}
+    assert got == {i: i - i % 2 for i in range(120)}
+
+
 def test_exact(spark, odd):
     from tidemill.llm import exact
 

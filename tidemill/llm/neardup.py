@@ -2,9 +2,9 @@
 
 Each tree is an order of the documents by a sequence of minimum hashes.  A region of a tree is a run of
 its order whose longest common prefix has at least a given depth: there lie a document's neighbours.
-Regions at the first depth connect documents to candidate clusters.  A cluster of moderate size is
-checked once as a whole; in a larger one each tree is cut into regions again, each as deep as it takes
-to make it small.  Links are confirmed on full sets of shingles.
+Regions at one depth connect documents to candidate clusters.  A cluster of moderate size is checked
+once as a whole, a larger one as a whole or region by region, whichever has fewer pairs, in blocks of
+documents.  Links are confirmed on full sets of shingles.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from .words import U, Words, chunks, mix
 
 SHINGLE = 5
 TREES = 32
-#: Minimum hashes that a region's documents share: at first, and in turn where regions are too large.
-DEPTHS = (5, 8, 12)
+#: Minimum hashes that a region's documents share, at any size of the input.
+DEPTHS = (5,)
 #: Documents that are compared in one task as one group, at most.
 GROUP = 4096
 #: Values of the sketch that rules out pairs before full sets are compared, and how far below the
@@ -142,33 +142,16 @@ def _blocks(groups: DataFrame, limit: int) -> DataFrame:
     return rows.select("id", F.concat_ws(".", "key", F.least("share", "t"), F.greatest("share", "t")).alias("place"))
 
 
-def _regions(rows: DataFrame, limit: int) -> DataFrame:
-    """rows: id, d0, d1, text of documents in large clusters.  Gives id, d0, d1, text, place: for each
-    tree the shallowest region with at most limit documents.  A region too large at the last depth is
-    compared block by block."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, part in chunks(batches, 1):
-            sets = shingle_sets(texts)
-            keys = tree_keys(sets, DEPTHS)
-            n = len(texts)
-            ids = np.repeat(part.column(0).to_numpy(), TREES)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(k.reshape(-1)) for k in keys)], ["id", *(f"k{i}" for i in range(len(DEPTHS)))])
-            assert len(ids) == n * TREES
-
-    names = [f"k{i}" for i in range(len(DEPTHS))]
-    own = stage(rows.select("id", "text").mapInArrow(run, "id long, " + ", ".join(f"{k} long" for k in names)), "regions")
-    left, found = own, None
-    for level, k in enumerate(names):
-        last = level + 1 == len(names)
-        sizes = left.groupBy(F.col(k).alias("key")).agg(F.count("*").alias("n")).where("n > 1")
-        here = left.withColumn("key", F.col(k)).join(sizes, "key")
-        ready = (here if last else here.where(F.col("n") <= limit)).select("id", "key", "n")
-        if not last:
-            left = stage(here.where(F.col("n") > limit).select("id", *names), "regions")
-        found = ready if found is None else found.union(ready)
-    places = _blocks(found, limit)
-    return rows.join(places, "id").select("id", "d0", "d1", "text", "place")
+def _groups(keys: DataFrame, member: DataFrame) -> DataFrame:
+    """keys: id, key (regions).  member: id, component, n of documents in large clusters.  Gives id, key, n:
+    the groups whose pairs are compared, which are a cluster's regions, or the cluster where that is less."""
+    own = stage(keys.join(member, "id").select("id", "component", "n", "key"), "regions")
+    regions = own.groupBy("key", "component").agg(F.first("n").alias("all"), F.count("*").alias("n")).where("n > 1")
+    pairs = regions.groupBy("component").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"), F.first("all").cast("double").alias("all"))
+    whole = stage(pairs.select("component", (F.col("pairs") >= F.col("all") * F.col("all")).alias("whole")), "whole")
+    cut = regions.join(whole.where("not whole"), "component").select("key", "n")
+    cluster = member.join(whole.where("whole"), "component").select("id", F.concat(F.lit("c"), "component").alias("key"), "n")
+    return own.select("id", "key").join(cut, "key").select("id", F.concat(F.lit("r"), "key").alias("key"), "n").union(cluster)
 
 
 def _confirm(rows: DataFrame, percent: int) -> DataFrame:
@@ -201,7 +184,8 @@ def near_groups(docs: DataFrame, percent: int = 85, limit: int = GROUP, id_col:
 
     Texts with 100 * intersection >= percent * union of their distinct shingles are linked.  Rows with
     the same set are one class from the start, so copies cost no comparisons.  Two texts exactly at the
-    threshold share a region in none of the trees with probability 3e-7 (85) or 3e-6 (80).
+    threshold share a region in none of the trees with probability 7e-9 (85) or 3e-6 (80) at any size of
+    their cluster; limit bounds the documents compared in one task, not which pairs are.
 
     Null or word-less texts have no shingles and are linked with nothing; rows with a null id are linked
     with nothing and kept; repeated rows share a component, and of those all with the smallest id are
@@ -222,8 +206,8 @@ def near_groups(docs: DataFrame, percent: int = 85, limit: int = GROUP, id_col:
     found = _confirm(rows.where(F.col("n") <= limit).select("id", "d0", "d1", "text", F.col("component").cast("string").alias("place")), percent)
     links = stage(found, "links")
     if not sizes.where(F.col("n") > limit).isEmpty():
-        large = stage(rows.where(F.col("n") > limit).select("id", "d0", "d1", "text"), "large")
-        deep = _confirm(_regions(large, limit), percent)
+        places = _blocks(_groups(keys, stage(member.where(F.col("n") > limit).select("id", "component", "n"), "large")), limit)
+        deep = _confirm(rows.join(places, "id").select("id", "d0", "d1", "text", "place"), percent)
         links = links.union(components(deep).where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
     class_of = classes.join(links.select(F.col("a").alias("id"), "b"), "id", "left").select("d0", "d1", F.coalesce("b", "id").alias("_c"))
     out = own.drop("keys").join(class_of, ["d0", "d1"], "left")
