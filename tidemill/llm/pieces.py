@@ -19,13 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
-from .words import U, mix, powers
+from .words import U, chunks, mix, powers
 
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Words whose ids a worker remembers, at most; then it starts afresh.
-CACHE = 400_000
+#: Bytes of words and ids that a worker remembers, with ENTRY for each word's objects; beyond it only
+#: the words of the texts at hand stay.  Words of more than KEPT characters are never remembered.
+CACHE, ENTRY, KEPT = 96 << 20, 200, 64
+#: Texts are encoded together until they hold so many bytes; a longer text is encoded alone, whole.
+CHUNK = 4 << 20
 #: Longer words of a model of merges are merged with a heap, one at a time.
 LONG = 48
 
@@ -87,6 +90,8 @@ class Model:
         keys = self._keys(run[0], starts, sizes)
         order = np.argsort(keys)
         self.keys, self.key_ids = keys[order], usable[order]
+        self.likely = np.zeros(1 << 20, bool)
+        self.likely[self.keys >> U(44)] = True
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece goes on after a space")
         known = set(flat)
@@ -114,8 +119,10 @@ class Model:
         out = np.full((m, n, k), -1, np.int32)
         for size in range(1, k + 1):
             keys = self._keys(run, np.arange(n - size + 1), np.full(n - size + 1, size))
+            word, place = np.nonzero(self.likely[keys >> U(44)])  # most others are no piece
+            keys = keys[word, place]
             at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            out[:, : n - size + 1, size - 1] = np.where(self.keys[at] == keys, self.key_ids[at], -1)
+            out[word, place, size - 1] = np.where(self.keys[at] == keys, self.key_ids[at], -1)
         return out
 
     def viterbi(self, chars: np.ndarray) -> list[list[tuple[int, int, int]]]:
@@ -246,17 +253,39 @@ class Encoder:
     """Whole texts to ids; each distinct word is encoded once while it is remembered."""
 
     def __init__(self, file: str):
-        self.model, self.known = Model(Path(file).read_bytes()), {}
+        self.model = Model(Path(file).read_bytes())
+        self.known: dict[str, bytes] = {}
+        self.size = 0
+        #: Words whose ids do not decode to them.
+        self.lossy: set[str] = set()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
+        return [ids for ids, _ in self.checked(texts)]
+
+    def checked(self, texts: list[str]) -> list[tuple[bytes, bool]]:
+        """For each text its ids and whether they decode to it: pieces end where words do, and words
+        hold whole characters, so a text comes back if all its words do."""
         words = [self.model.words(x) for x in texts]
         distinct = set().union(*words)
         missing = distinct.difference(self.known)
-        if len(self.known) + len(missing) > CACHE:
-            self.known = {}
-            missing = distinct
-        self.known.update(self.model.encode_words(missing))
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+        made = self.model.encode_words(missing)
+        pieces = self.model.texts
+        self.lossy.update(w for w, ids in made.items() if b"".join([pieces[i] for i in np.frombuffer(ids, "<i4").tolist()]) != w.replace(SPACE, " ").encode())
+        self.known |= made
+        self.size += sum(len(w) + len(ids) + ENTRY for w, ids in made.items())
+        lossy = self.lossy
+        out = [(b"".join(map(self.known.__getitem__, own)), SPACE not in x and (not lossy or lossy.isdisjoint(own))) for x, own in zip(texts, words, strict=True)]
+        if self.size > CACHE:
+            self.known = {w: self.known[w] for w in distinct}
+            self.size = sum(len(w) + len(ids) + ENTRY for w, ids in self.known.items())
+            if self.size > CACHE // 2:
+                self.known, self.size = {}, 0
+        else:
+            for w in [w for w in made if len(w) > KEPT]:
+                self.size -= len(w) + len(self.known.pop(w)) + ENTRY
+        self.lossy.intersection_update(self.known)
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -268,7 +297,7 @@ def encoder(file: str) -> Encoder:
     return _encoders[file]
 
 
-def _lists(parts: list[bytes]) -> pa.ListArray:
+def _lists(parts: Iterable[bytes]) -> pa.ListArray:
     ends = np.cumsum([0, *(len(x) // 4 for x in parts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<i4")))
 
@@ -288,13 +317,9 @@ def encode(docs: DataFrame, file: str, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(file)
-        for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                b = whole.slice(start, 256)
-                texts = [x or "" for x in b.column(at).to_pylist()]
-                parts = made.encode(texts)
-                same = [made.model.decode(np.frombuffer(p, "<i4")) == x for p, x in zip(parts, texts, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(b.column(i) for i in rest), _lists(parts), pa.array([len(p) // 4 for p in parts], pa.int64()), pa.array(same)], out_names)
+        for texts, b in chunks(batches, at, CHUNK):
+            parts, same = zip(*made.checked([x.decode() for x in texts]), strict=True)
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in rest), _lists(parts), pa.array([len(p) // 4 for p in parts], pa.int64()), pa.array(same)], out_names)
 
     return rows.mapInArrow(run, StructType([*(rows.schema.fields[i] for i in rest), *added]))
 

@@ -29,13 +29,15 @@ from .shared import shared_dir, stage
 SKIP_INDEX, SKIP_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: A frame is closed at the first document end after so many ids.
 FRAME_IDS = 1 << 16
-#: Pieces of text whose ids a worker remembers, at most; then it starts afresh.
-CACHE = 1_200_000
+#: Bytes of pieces and ids that a worker remembers, with ENTRY for each piece's objects; then it starts
+#: afresh.  Pieces of more than KEPT characters are never remembered.
+CACHE, ENTRY, KEPT = 160 << 20, 190, 64
 
 #: Where the byte-level pattern surely breaks: Latin letters before ASCII, ASCII marks but the apostrophe
 #: before a letter, digit or space, any run up to white space, and white space as the pattern takes it.
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _LETTERS = re.compile(rf" ?[{_LATIN}]+")
+_PLAIN = re.compile(r" ?[A-Za-z]+")
 _PIECE = re.compile(rf" ?[{_LATIN}]++(?=[\x00-\x7f]|\Z)| ?[!-&(-/:-@\[-`{{-~]++(?=[A-Za-z0-9\s]|\Z)| ?[^\s]+|\s+(?!\S)|\s+", re.A)
 #: White space beyond ASCII.
 _SPACES = re.compile("[" + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
@@ -45,8 +47,8 @@ def open_path(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri)
 
 
-class PieceEncoder:
-    """Ids of whole texts by the tokenizers library, which encodes each distinct piece once.
+class PieceEncoder(dict):
+    """Ids of whole texts by the tokenizers library; a dict of pieces that encodes those it lacks.
 
     The byte-level pattern always breaks a text at the ends of the pieces that _PIECE finds; between them
     the library sees the same characters either way.  Texts with white space
@@ -56,8 +58,10 @@ class PieceEncoder:
     def __init__(self, file: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(file)
-        self.known: dict[str, bytes] = {}
+        self.merge = self.tokenizer.model.tokenize
+        self.size = 0
         parts = json.loads(self.tokenizer.to_str())
         split = parts["pre_tokenizer"] or {}
         if parts["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex"):
@@ -65,30 +69,39 @@ class PieceEncoder:
         self.ids = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
         spare = (c for c in range(256, 512))
         self.marks = {b: b if 33 <= b < 127 or 161 <= b < 173 or 174 <= b else next(spare) for b in range(256)}
+        self.space = chr(self.marks[32])
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _library(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+    def __missing__(self, piece: str) -> bytes:
         """Runs of letters go straight to the library's merges, in its byte alphabet; others go through
         all its steps."""
-        whole, merge, ids = [], self.tokenizer.model.tokenize, self.ids
-        for p in pieces:
-            if _LETTERS.fullmatch(p):
-                yield p, b"".join([ids[t.id] for t in merge(p.encode().decode("latin-1").translate(self.marks))])
-            else:
-                whole.append(p)
-        yield from zip(whole, self._library(whole), strict=True)
+        if _PLAIN.fullmatch(piece):
+            own = self.space + piece[1:] if piece[0] == " " else piece
+        elif _LETTERS.fullmatch(piece):
+            own = piece.encode().decode("latin-1").translate(self.marks)
+        else:
+            own = None
+        ids = self.ids
+        out = self._library(piece) if own is None else b"".join([ids[t.id] for t in self.merge(own)])
+        if len(piece) <= KEPT:
+            self.size += len(piece) + len(out) + ENTRY
+            self[piece] = out
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        pieces = [None if "<|" in x or not x.isascii() and _SPACES.search(x) else _PIECE.findall(x) for x in texts]
-        distinct = set().union(*filter(None, pieces))
-        missing = distinct.difference(self.known)
-        if len(self.known) + len(missing) > CACHE:
-            self.known, missing = {}, distinct
-        self.known.update(self._pieces(list(missing)))
-        return [self._library([x])[0] if p is None else b"".join(map(self.known.__getitem__, p)) for x, p in zip(texts, pieces, strict=True)]
+        out = []
+        for x in texts:
+            if "<|" in x or not x.isascii() and _SPACES.search(x):
+                out.append(self._library(x))
+                continue
+            out.append(b"".join(map(self.__getitem__, _PIECE.findall(x))))
+            if self.size > CACHE:
+                self.clear()
+                self.size = 0
+        return out
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -191,10 +204,10 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int,
 
         def ids():
             for b in (x for y in ([first], batches) for x in y):
-                for start in range(0, b.num_rows, 256):
-                    part = b.slice(start, 256)
-                    for doc_id, got in zip(part.column(0).to_pylist(), made.encode(part.column(1).to_pylist()), strict=True):
-                        yield doc_id, got + end
+                for start in range(0, b.num_rows, 64):
+                    part = b.slice(start, 64)
+                    for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                        yield doc_id, made.encode([text])[0] + end
 
         place = TaskContext.get().partitionId()
         path = f"{folder}/part-{place:05d}-{uuid.uuid4().hex}.zst"

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -74,16 +75,16 @@ def per_doc(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return run[bounds[1:]] - run[bounds[:-1]]
 
 
-def chunks(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
-    """Texts (column number text, null as empty, as bytes) with their rows, in pieces of about CHUNK bytes."""
+def chunks(batches: Iterable[pa.RecordBatch], text: int, most: int = CHUNK) -> Iterator[tuple[list[bytes], pa.RecordBatch]]:
+    """Texts (column number text, null as empty, as bytes) with their rows, in pieces of about `most`
+    bytes; only the texts of one piece are Python objects at a time."""
     for b in batches:
-        column = b.column(text).cast(pa.binary())
-        texts = [x or b"" for x in column.to_pylist()]
-        start, size = 0, 0
-        for i, x in enumerate(texts):
-            if size and size + len(x) > CHUNK:
-                yield texts[start:i], b.slice(start, i - start)
-                start, size = i, 0
-            size += len(x) + 1
-        if start < len(texts):
-            yield texts[start:], b.slice(start)
+        column = b.column(text).cast(pa.large_binary())
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes + 1)
+        start = 0
+        while start < b.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield [x or b"" for x in column.slice(start, end - start).to_pylist()], b.slice(start, end - start)
+            start = end
