@@ -159,6 +159,44 @@ def test_exact(spark, odd):
     assert exact.exact_groups(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("piece", [512, 3])
+def test_equal_texts_are_adjacent(spark, piece):
+    """In content order equal texts stand side by side, also those that are sorted in pieces."""
+    from tidemill.llm import exact
+
+    rows = [(i, ["hot text", f"one {i}", "pair %d" % (i // 2)][i % 3] + " " * (i % 4)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = exact.stage(exact.keyed(df.select("doc_id", F.char_length("text").cast("long").alias("_n"), exact.without_space(F.col("text")).alias("_norm")), F.col("_norm")), "t")
+    seen = exact.content_order(keyed, "doc_id", F.col("_norm"), piece).select("_norm", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("at")).orderBy("at").collect()
+    assert len(seen) == 300
+    runs = [r._norm for k, r in enumerate(seen) if not k or r._norm != seen[k - 1]._norm]
+    assert len(runs) == len(set(runs))
+    got = {r.doc_id: r for r in exact.exact_groups(df, piece=piece).collect()}
+    assert {r.keep_id for i, r in got.items() if i % 3 == 0} == {3} and all(r.group_size == 100 for i, r in got.items() if i % 3 == 0)
+    assert sum(r.kept for r in got.values()) == len(runs) == exact.drop_exact(df, piece=piece).count()
+
+
+def test_signature_orders(spark):
+    """Candidates are neighbours in the sorted orders whose common prefix is deep enough, across partitions too."""
+    from tidemill.llm import neardup
+
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, 40).astype(np.uint64)) for _ in range(200)]
+    made = neardup.signatures(sets)
+    rows = spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(made)], "id long, signatures binary")
+    got = {tuple(sorted((r.a, r.b))) for r in neardup.neighbours(neardup.orders(rows)).collect()}
+    least = set()
+    for t in range(neardup.TREES):
+        order = sorted(range(200), key=lambda i: (made[i, t].tobytes(), i))
+        for x, y in zip(order, order[1:]):
+            n = int(np.cumprod(made[x, t, 1:] == made[y, t, 1:]).sum())
+            if n >= neardup.DEPTH:
+                least.add(tuple(sorted((x, y))))
+            assert n >= neardup.SHALLOW or tuple(sorted((x, y))) not in got or any((made[x, u, 1:5] == made[y, u, 1:5]).all() for u in range(neardup.TREES))
+    assert least and least <= got
+    assert neardup.neighbours(neardup.orders(rows.limit(0))).count() == 0
+
+
 def _host_path(url):
     if url is None or "://" not in url:
         return "", ""

@@ -1,10 +1,12 @@
 """MinHash near-dedup with an LSH forest.
 
-Each tree is an order of the documents by a sequence of minimum hashes.  A region of a tree is a run of
-its order whose longest common prefix has at least a given depth: there lie a document's neighbours.
-Regions at one depth connect documents to candidate clusters.  A cluster of moderate size is checked
-once as a whole, a larger one as a whole or region by region, whichever has fewer pairs, in blocks of
-documents.  Links are confirmed on full sets of shingles.
+Each tree is an order of the documents by a signature, a sequence of minimum hashes.  The documents are
+sorted by each signature; neighbours in an order whose longest common prefix is deep enough are candidates.
+A run of the order at one depth is a region.  Where the region at depth SHALLOW is small, that is its
+depth; elsewhere it is DEPTH, so that at no size of a region a pair has less chance to meet than DEPTH
+gives.  Candidates join documents to clusters.  A small cluster is checked as a whole.  In a large one,
+blocks of signature neighbours are linked first; what then still lies in one region but in several
+components is compared in blocks.  Links are confirmed on full sets of shingles.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -23,16 +26,21 @@ from .words import U, Words, chunks, mix
 
 SHINGLE = 5
 TREES = 32
-#: Minimum hashes that a region's documents share, at any size of the input.
-DEPTHS = (5,)
-#: Documents that are compared in one task as one group, at most.
-GROUP = 4096
+#: Minimum hashes of a signature, and the depths of regions: SHALLOW where the region there has at most
+#: FEW documents, else DEPTH.
+LENGTH, SHALLOW, DEPTH, FEW = 6, 4, 5, 16
+#: Documents (by weight) that are compared in one task as one group, and shingles that weigh one document.
+GROUP, HEAVY = 512, 2048
+#: Orders in which the blocks of neighbours of a large cluster are linked first.
+FIRST = 8
 #: Values of the sketch that rules out pairs before full sets are compared, and how far below the
 #: threshold its estimate may lie: about five standard deviations.
 SKETCH, MARGIN = 256, 0.11
 
 _rng = np.random.default_rng(20240601)
-_TREE_HASHES = _rng.integers(0, 1 << 63, (TREES, max(DEPTHS)), np.uint64) * U(2) + U(1)
+_TREE_HASHES = _rng.integers(0, 1 << 63, (TREES, LENGTH), np.uint64) * U(2) + U(1)
+#: Bytes of a signature: its tree and its minimum hashes, 32 bits each.
+_KEY = 4 * (1 + LENGTH)
 _SKETCH_HASHES = _rng.integers(0, 1 << 63, SKETCH, np.uint64) * U(2) + U(1)
 
 
@@ -70,17 +78,13 @@ def minima(sets: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def tree_keys(sets: list[np.ndarray], depths: tuple[int, ...]) -> np.ndarray:
-    """Keys of the tree regions that each set lies in: [depth, set, tree]."""
-    deepest = max(depths)
-    least = minima(sets, _TREE_HASHES[:, :deepest].reshape(-1)).reshape(TREES, deepest, len(sets))
-    key = np.arange(TREES, dtype=U)[:, None] * U(0x9E3779B97F4A7C15) + np.zeros(len(sets), U)
-    out = []
-    for d in range(1, deepest + 1):
-        key = mix(key * U(0xD6E8FEB86659FD93) + least[:, d - 1])
-        if d in depths:
-            out.append(key.T.view(np.int64))
-    return np.array(out)
+def signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """The signatures of sets (none empty) as big-endian 32-bit numbers, which sort as bytes: [set, tree, 1 + LENGTH]."""
+    least = minima(sets, _TREE_HASHES.reshape(-1)).reshape(TREES, LENGTH, len(sets))
+    out = np.empty((len(sets), TREES, 1 + LENGTH), ">u4")
+    out[:, :, 0] = np.arange(TREES)
+    out[:, :, 1:] = (mix(least) >> U(32)).transpose(2, 0, 1)
+    return out
 
 
 def link(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -111,47 +115,104 @@ def link(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 
 def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, d0 and d1 (digest of the set) and keys (array<long>, one region a tree at the
-    first depth; empty for an empty set)."""
+    """id, n_shingles, d0 and d1 (digest of the set) and signatures (binary; null for an empty set)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, part in chunks(batches, 1):
             sets = shingle_sets(texts)
             full = [i for i, s in enumerate(sets) if len(s)]
-            keys = np.zeros((len(sets), TREES), np.int64)
+            blobs: list[bytes | None] = [None] * len(sets)
             if full:
-                keys[full] = tree_keys([sets[i] for i in full], DEPTHS[:1])[0]
+                for i, own in zip(full, signatures([sets[i] for i in full]), strict=True):
+                    blobs[i] = own.tobytes()
             own = np.array([digest(s) for s in sets], np.int64)
-            ends = np.cumsum([0, *(TREES if len(s) else 0 for s in sets)]).astype(np.int32)
-            flat = keys[[i for i in full]].reshape(-1) if full else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(own[:, 0]), pa.array(own[:, 1]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                ["id", "n_shingles", "d0", "d1", "keys"],
+                [part.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(own[:, 0]), pa.array(own[:, 1]), pa.array(blobs, pa.binary())],
+                ["id", "n_shingles", "d0", "d1", "signatures"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, n_shingles long, d0 long, d1 long, keys array<long>")
+    return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(run, "id long, n_shingles long, d0 long, d1 long, signatures binary")
+
+
+def orders(rows: DataFrame, trees: int = TREES) -> DataFrame:
+    """rows: id, signatures and others.  One row a tree with key, the signature that places it there."""
+    cut = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.substring("signatures", t * _KEY + 1, F.lit(_KEY)))
+    return rows.withColumn("key", F.explode(cut)).drop("signatures")
+
 
+def _numbers(keys: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(keys.to_pylist()), ">u4").reshape(len(keys), 1 + LENGTH)
 
-def _blocks(groups: DataFrame, limit: int) -> DataFrame:
-    """groups: id, key, n (size of the group).  id, place: a group over the limit is dealt into shares of
-    half the limit, and every two shares are one place, so that all its pairs meet."""
-    k = F.when(F.col("n") > limit, F.ceil(2 * F.col("n") / limit)).otherwise(1).cast("int")
-    rows = groups.withColumn("k", k).withColumn("share", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
-    others = F.filter(F.sequence(F.lit(0), F.col("k") - 1), lambda t: (F.col("k") == 1) | (t != F.col("share")))
-    rows = rows.select("id", "key", "share", F.explode(others).alias("t"))
-    return rows.select("id", F.concat_ws(".", "key", F.least("share", "t"), F.greatest("share", "t")).alias("place"))
 
+def common_prefix(keys: np.ndarray) -> np.ndarray:
+    """Minimum hashes that each row of sorted signatures has in common with the row before, from the first on."""
+    return np.cumprod(keys[1:] == keys[:-1], axis=1).sum(1) - 1
 
-def _groups(keys: DataFrame, member: DataFrame) -> DataFrame:
-    """keys: id, key (regions).  member: id, component, n of documents in large clusters.  Gives id, key, n:
-    the groups whose pairs are compared, which are a cluster's regions, or the cluster where that is less."""
-    own = stage(keys.join(member, "id").select("id", "component", "n", "key"), "regions")
-    regions = own.groupBy("key", "component").agg(F.first("n").alias("all"), F.count("*").alias("n")).where("n > 1")
-    pairs = regions.groupBy("component").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"), F.first("all").cast("double").alias("all"))
-    whole = stage(pairs.select("component", (F.col("pairs") >= F.col("all") * F.col("all")).alias("whole")), "whole")
-    cut = regions.join(whole.where("not whole"), "component").select("key", "n")
-    cluster = member.join(whole.where("whole"), "component").select("id", F.concat(F.lit("c"), "component").alias("key"), "n")
-    return own.select("id", "key").join(cut, "key").select("id", F.concat(F.lit("r"), "key").alias("key"), "n").union(cluster)
+
+def neighbours(rows: DataFrame) -> DataFrame:
+    """rows: id, key.  Candidate pairs a, b: neighbours in a sorted order whose common prefix is as deep
+    as their region asks for.  Range partitions, of which no key has more rows than others, are sorted;
+    the first and last row of each meet in a second step, at DEPTH."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(b.column(0).to_numpy(), _numbers(b.column(1))) for b in batches if b.num_rows]
+        if not parts:
+            return
+        ids, keys = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        del parts
+        lcp = common_prefix(keys)
+        region = np.concatenate([[0], np.cumsum(lcp < SHALLOW)])
+        few = np.bincount(region) <= FEW
+        few[[0, -1]] = False  # they may go on in the next partition
+        i = np.flatnonzero(lcp >= np.where(few[region[1:]], SHALLOW, DEPTH))
+        part = TaskContext.get().partitionId()
+        a, b = np.concatenate([ids[i], ids[[0, -1]]]), [*ids[i + 1].tolist(), None, None]
+        ends = [None] * len(i) + [keys[0].tobytes(), keys[-1].tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(ends, pa.binary()), pa.array(np.arange(len(a)) - len(i) + 2 * part, pa.int64())], ["a", "b", "edge", "at"])
+
+    ordered = rows.select("id", "key").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
+    found = stage(ordered.mapInArrow(run, "a long, b long, edge binary, at long"), "neighbours")
+    ends = found.where("edge is not null").select("a", "at", F.substring("edge", 1, 4 * (1 + DEPTH)).alias("edge"))  # two rows a partition
+    line = Window.orderBy("at")
+    across = ends.withColumns({"b": F.lag("a").over(line), "_was": F.lag("edge").over(line)}).where("edge = _was and a <> b").select("a", "b")
+    return found.where("edge is null").select("a", "b").union(across)
+
+
+def _first_blocks(rows: DataFrame, limit: int) -> DataFrame:
+    """rows: id, weight, key.  id, place: blocks of neighbours in each order, half of limit in weight."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, weight = TaskContext.get().partitionId(), 0
+        for b in batches:
+            total = np.cumsum(b.column(1).to_numpy()) + weight
+            block = (total - 1) // max(2, limit // 2)
+            weight = int(total[-1]) if len(total) else weight
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f"{part}.{x}" for x in block.tolist()])], ["id", "place"])
+
+    return rows.select("id", "weight", "key").repartitionByRange("key", "id").sortWithinPartitions("key", "id").mapInArrow(run, "id long, place string")
+
+
+def _open_places(rows: DataFrame, limit: int) -> DataFrame:
+    """rows: id, cluster, weight, component, key (of regions; null for the cluster as a whole).  id, place:
+    every pair of one region in different components meets in a place of about two limits of weight.
+
+    A region is compared as blocks of all its documents with shares of those outside its largest
+    component; a cluster as a whole or region by region, whichever is less."""
+    own = rows.groupBy("cluster", "key", "component").agg(F.sum("weight").alias("w"))
+    regions = own.groupBy("cluster", "key").agg(F.sum("w").alias("all"), F.max(F.struct("w", "component")).alias("top"))
+    regions = regions.select("cluster", "key", "all", (F.col("all") - F.col("top.w")).alias("minor"), F.col("top.component").alias("top")).where("minor > 0")
+    work = lambda of: F.sum(F.when(of, F.col("all").cast("double") * F.col("minor")).otherwise(0.0))
+    less = regions.groupBy("cluster").agg(work(F.col("key").isNotNull()).alias("apart"), work(F.col("key").isNull()).alias("whole"))
+    regions = regions.join(less, "cluster").where(F.col("key").isNull() == (F.col("whole") <= F.col("apart"))).drop("apart", "whole")
+    count = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / limit)).cast("int")
+    rows = rows.join(regions.withColumns({"ni": count("all"), "nj": count("minor")}), (rows["cluster"] == regions["cluster"]) & rows["key"].eqNullSafe(regions["key"])).drop(regions["cluster"]).drop(regions["key"])
+    share = F.pmod(F.xxhash64("id", F.lit(1)), F.col("nj")).cast("int")
+    block = F.pmod(F.xxhash64("id"), F.col("ni")).cast("int")
+    grid = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    mine = F.transform(F.sequence(F.lit(0), F.col("nj") - 1), lambda j: grid(block, j))
+    more = F.when(F.col("component") != F.col("top"), F.transform(F.sequence(F.lit(0), F.col("ni") - 1), lambda i: grid(i, share))).otherwise(F.array().cast("array<struct<i:int,j:int>>"))
+    rows = rows.select("id", "cluster", "key", F.explode(F.array_union(mine, more)).alias("p"))
+    return rows.select("id", F.concat_ws(".", F.col("cluster"), F.hex("key"), "p.i", "p.j").alias("place"))
 
 
 def _confirm(rows: DataFrame, percent: int) -> DataFrame:
@@ -184,8 +245,8 @@ def near_groups(docs: DataFrame, percent: int = 85, limit: int = GROUP, id_col:
 
     Texts with 100 * intersection >= percent * union of their distinct shingles are linked.  Rows with
     the same set are one class from the start, so copies cost no comparisons.  Two texts exactly at the
-    threshold share a region in none of the trees with probability 7e-9 (85) or 3e-6 (80) at any size of
-    their cluster; limit bounds the documents compared in one task, not which pairs are.
+    threshold share a region in none of the trees with probability 7e-9 (85) or 3e-6 (80) at most, at any
+    size of their cluster; limit bounds the weight compared in one task, not which pairs are.
 
     Null or word-less texts have no shingles and are linked with nothing; rows with a null id are linked
     with nothing and kept; repeated rows share a component, and of those all with the smallest id are
@@ -193,24 +254,28 @@ def near_groups(docs: DataFrame, percent: int = 85, limit: int = GROUP, id_col:
     """
     own = stage(features(docs, id_col, text_col), "features")
     full = own.where("n_shingles > 0 and id is not null")
-    classes = stage(full.groupBy("d0", "d1").agg(F.min(F.struct("id", "keys")).alias("x")).select("d0", "d1", "x.id", "x.keys"), "classes")
-    keys = classes.select("id", F.explode("keys").alias("key"))
-    heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    edges = keys.join(heads, "key").where("id <> head").select("id", "head").distinct()
-    clusters = stage(components(edges, "id", "head"), "clusters")
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
-    member = clusters.join(sizes, "component").select(F.col("node").alias("id"), "component", "n")
-    member = member.join(classes.select("id", "d0", "d1"), "id")
+    classes = full.groupBy("d0", "d1").agg(F.min(F.struct("id", "n_shingles", "signatures")).alias("x"))
+    classes = stage(classes.select("d0", "d1", "x.id", "x.signatures", F.ceil(F.col("x.n_shingles") / HEAVY).cast("long").alias("weight")), "classes")
+    edges = neighbours(orders(classes.select("id", "signatures"))).distinct()
+    clusters = stage(components(edges, "a", "b"), "clusters").select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    member = clusters.join(classes.drop("signatures"), "id")
+    member = stage(member.join(member.groupBy("cluster").agg(F.sum("weight").alias("n")), "cluster"), "members")
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = text.join(member, "id")
-    found = _confirm(rows.where(F.col("n") <= limit).select("id", "d0", "d1", "text", F.col("component").cast("string").alias("place")), percent)
-    links = stage(found, "links")
-    if not sizes.where(F.col("n") > limit).isEmpty():
-        places = _blocks(_groups(keys, stage(member.where(F.col("n") > limit).select("id", "component", "n"), "large")), limit)
-        deep = _confirm(rows.join(places, "id").select("id", "d0", "d1", "text", "place"), percent)
-        links = links.union(components(deep).where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
+    rows = text.join(member.select("id", "d0", "d1", "cluster", "n"), "id")
+    links = stage(_confirm(rows.where(F.col("n") <= limit).withColumn("place", F.col("cluster").cast("string")), percent), "links")
+    if not member.where(F.col("n") > limit).isEmpty():
+        large = stage(member.where(F.col("n") > limit).join(classes.select("id", "signatures"), "id").select("id", "cluster", "weight", "signatures"), "large")
+        rows = stage(rows.where(F.col("n") > limit).select("id", "d0", "d1", "text"), "large_texts")
+        near = components(_confirm(rows.join(_first_blocks(orders(large, FIRST), limit), "id"), percent))
+        near = stage(near.select(F.col("node").alias("id"), "component"), "near")
+        known = large.join(near, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        regions = orders(known).withColumn("key", F.substring("key", 1, 4 * (1 + DEPTH)))
+        known = regions.unionByName(known.drop("signatures").withColumn("key", F.lit(None).cast("binary")))
+        rest = _confirm(rows.join(_open_places(stage(known, "regions"), limit), "id"), percent)
+        both = components(rest.union(near.select("id", "component")))
+        links = links.union(both.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")))
     class_of = classes.join(links.select(F.col("a").alias("id"), "b"), "id", "left").select("d0", "d1", F.coalesce("b", "id").alias("_c"))
-    out = own.drop("keys").join(class_of, ["d0", "d1"], "left")
+    out = own.drop("signatures").join(class_of, ["d0", "d1"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("_c")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
