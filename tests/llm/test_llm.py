@@ -167,7 +167,8 @@ def test_equal_texts_are_adjacent(spark, piece):
     rows = [(i, ["hot text", f"one {i}", "pair %d" % (i // 2)][i % 3] + " " * (i % 4)) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     keyed = exact.stage(exact.keyed(df.select("doc_id", F.char_length("text").cast("long").alias("_n"), exact.without_space(F.col("text")).alias("_norm")), F.col("_norm")), "t")
-    seen = exact.content_order(keyed, "doc_id", F.col("_norm"), piece).select("_norm", F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("at")).orderBy("at").collect()
+    seen = exact.content_order(keyed, "doc_id", F.col("_norm"), piece).select("_norm", "_rn", F.monotonically_increasing_id().alias("at"))
+    seen = exact.stage(seen, "seen").orderBy("at").collect()
     assert len(seen) == 300
     runs = [r._norm for k, r in enumerate(seen) if not k or r._norm != seen[k - 1]._norm]
     assert len(runs) == len(set(runs))

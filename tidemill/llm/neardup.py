@@ -30,7 +30,7 @@ TREES = 32
 #: FEW documents, else DEPTH.
 LENGTH, SHALLOW, DEPTH, FEW = 6, 4, 5, 16
 #: Documents (by weight) that are compared in one task as one group, and shingles that weigh one document.
-GROUP, HEAVY = 512, 2048
+GROUP, HEAVY = 4096, 2048
 #: Orders in which the blocks of neighbours of a large cluster are linked first.
 FIRST = 8
 #: Values of the sketch that rules out pairs before full sets are compared, and how far below the
