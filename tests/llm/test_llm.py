@@ -224,6 +224,31 @@ def test_urls(spark):
     assert urls.url_verdicts(pages.limit(0)).count() == 0
 
 
+def test_url_verdicts_without_rules(spark):
+    """Suffixes of rules do not decide other URLs, and the trees leave most URLs alone."""
+    from tidemill.llm import urls
+
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    got = urls.url_verdicts(pages)
+    said = F.when(F.col("rule").isin("net/es/", "net/fr/", "example.com/en/"), 1).when(F.col("rule").isNotNull(), 0)
+    rows = got.withColumn("y", said).where("y is not null").collect()
+    assert len(rows) > 100 and all(0 <= r.block_probability <= 1 and r.verdict == ("block" if r.y else "allow") for r in rows)
+    rest = got.where("rule is null")
+    assert rest.where("verdict = 'block'").count() < 0.3 * rest.count()
+    net = [r.verdict for r in got.where("rule is null and host like '%.net'").collect()]
+    assert net and net.count("block") < len(net), (net.count("block"), len(net))
+
+
+def test_block_chance_is_the_tree_score(spark):
+    from tidemill.llm import urls
+
+    rng = np.random.default_rng(2)
+    x = rng.random((300, len(urls.FEATURES)))
+    model = urls.fit_trees(x, (x[:, 1] > 0.4).astype(float), np.ones(300))
+    got = spark.createDataFrame(x.tolist(), list(urls.FEATURES)).select((1 / (1 + F.exp(-urls.tree_score(model)))).alias("p")).collect()
+    assert np.allclose([r.p for r in got], urls.block_chance(model, x))
+
+
 def test_url_trees_held_out():
     from tidemill.llm import urls
 

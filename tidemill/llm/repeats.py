@@ -102,19 +102,19 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _state_rows(rows: DataFrame, length: int) -> DataFrame:
-    """Distinct states of each text: row, key, whole, lhash, rhash, many, times."""
+    """Distinct states of each text: row, tag, key, whole, lhash, rhash, many, times."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, text, _ in _rows(batches):
+        for row, text, (tag,) in _rows(batches):
             s = states(text, length)
             if s is not None:
                 whole, at, times = np.unique(s["whole"], return_index=True, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * len(at), pa.int64()), _signed(s["key"][at]), _signed(whole), _signed(s["left"][at]), _signed(s["right"][at]), pa.array(s["many"][at]), pa.array(times)],
-                    ["row", "key", "whole", "lhash", "rhash", "many", "times"],
+                    [pa.array([row] * len(at), pa.int64()), pa.array([tag] * len(at), pa.int64()), _signed(s["key"][at]), _signed(whole), _signed(s["left"][at]), _signed(s["right"][at]), pa.array(s["many"][at]), pa.array(times)],
+                    ["row", "tag", "key", "whole", "lhash", "rhash", "many", "times"],
                 )
 
-    return rows.mapInArrow(run, "row long, key long, whole long, lhash long, rhash long, many boolean, times long")
+    return rows.mapInArrow(run, "row long, tag long, key long, whole long, lhash long, rhash long, many boolean, times long")
 
 
 def _wanted(distinct: DataFrame) -> DataFrame:
@@ -124,12 +124,12 @@ def _wanted(distinct: DataFrame) -> DataFrame:
     rows = distinct.join(by_key, "key")
     sides = [rows.where(f"{s} <> 0").groupBy("key", s).agg(F.count("*").alias(f"{s}_n")).where(f"{s}_n > 1") for s in ("lhash", "rhash")]
     rows = rows.join(sides[0], ["key", "lhash"], "left").join(sides[1], ["key", "rhash"], "left")
-    return rows.where("any_many or lhash_n is not null or rhash_n is not null").select("key", "whole", "row", "n")
+    return rows.where("any_many or lhash_n is not null or rhash_n is not null").select("key", "whole", "row", "tag", "n")
 
 
 def _contexts(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """key, whole, n, bytes of the wanted states, each from one text that has it."""
-    asked = wanted.groupBy("row").agg(F.collect_list(F.struct("whole", "n")).alias("asked"))
+    """key, whole, n, bytes of the wanted states, each from one text that has it, and of its copies one."""
+    asked = wanted.groupBy("row", "tag").agg(F.collect_list(F.struct("whole", "n")).alias("asked"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, text, (asked,) in _rows(batches):
@@ -142,7 +142,7 @@ def _contexts(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             if own:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*own, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["key", "whole", "n", "bytes"])
 
-    return texts.join(asked, "row").select("row", "text", "asked").mapInArrow(run, "key long, whole long, n long, bytes binary")
+    return texts.join(asked, ["row", "tag"]).select("row", "text", "asked").mapInArrow(run, "key long, whole long, n long, bytes binary")
 
 
 def _compare(contexts: DataFrame, length: int) -> DataFrame:
@@ -190,11 +190,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, limit: int = GROUP, id
     columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(F.xxhash64(text).alias("row"), F.col(id_col), text.alias("text"))
-    made = stage(_state_rows(texts.where(F.octet_length("text") >= length).select("row", "text"), length), "states")
-    distinct = stage(made.groupBy("key", "whole").agg(F.sum("times").alias("times"), F.min("row").alias("row"), F.first("lhash").alias("lhash"), F.first("rhash").alias("rhash"), F.first("many").alias("many")), "distinct")
-    once = texts.where(F.octet_length("text") >= length).select("row", "text")
-    contexts = stage(_contexts(once, _wanted(distinct), length), "contexts")
+    texts = docs.select(F.xxhash64(text).alias("row"), F.xxhash64(F.col(id_col)).alias("tag"), F.col(id_col), text.alias("text"))
+    once = texts.where(F.octet_length("text") >= length).select("row", "text", "tag")
+    made = stage(_state_rows(once, length), "states")
+    distinct = stage(made.groupBy("key", "whole").agg(F.sum("times").alias("times"), F.min(F.struct("row", "tag")).alias("x"), F.first("lhash").alias("lhash"), F.first("rhash").alias("rhash"), F.first("many").alias("many")).select("*", "x.row", "x.tag").drop("x"), "distinct", tidy=True)
+    contexts = stage(_contexts(once, _wanted(distinct), length), "contexts", tidy=True)
     found = _compare(contexts.where(F.col("n") <= limit), length)
     if not contexts.where(F.col("n") > limit).isEmpty():
         found = found.union(_compare_hot(contexts.where(F.col("n") > limit), length))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -31,13 +32,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tidemill-{spark.sparkContext.applicationId}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: later plans start from files that
-    outlive any executor.  release() deletes the session's tables."""
-    spark = df.sparkSession
+    outlive any executor.  release() deletes the session's tables.
+
+    tidy is for large steps: Spark deletes shuffle files once the driver has collected the plan that made
+    them, which a driver with free memory may put off for long; so it is asked to collect now."""
+    spark, schema = df.sparkSession, df.schema
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if tidy:
+        del df
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
