@@ -266,7 +266,7 @@ def thread_clean(c: Column) -> Column:
         x = F.regexp_replace(x, F.lit("(?i)" + p), F.lit(""))
     lines = F.filter(F.split(x, "\n"), lambda y: let(trim(y), lambda t: (t != "") & ~t.rlike(r"^\d+$|^\d{1,2}/\d{1,2}/\d{4}$|^[\d,.]+K?$")))
     bare = F.regexp_replace(trim(c), F.lit(r"\s*[\d,.]+K\s*$"), F.lit(""))
-    last = lambda v: F.when((F.length(v) < 3) & (F.length(c) > 10), bare).otherwise(F.when(v.rlike(r"^[.,:;]$"), "").otherwise(v))
+    last = lambda v: F.when(v.rlike(r"^[.,:;]$"), "").otherwise(F.when((F.length(v) < 3) & (F.length(c) > 10), bare).otherwise(v))
     return F.when(c.isNotNull(), let(trim(F.array_join(lines, "\n")), last))
 
 

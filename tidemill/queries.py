@@ -135,7 +135,7 @@ _text("video_clean", T.video_clean, None)
 _text("thread_clean", T.thread_clean, None)
 _text("has_url", T.has_url, r"regexp_matches(text, '(?i)(https?://\S+)|(www\.\S+)|(\S+\.(com|org|net|edu|gov|io|co|tv|me|ly|be|gl)\S*)')")
 _text("valid_video_comment", T.valid_video_comment, None)
-_text("removal_reason", lambda c: T.removal_reason(F.substring(c, 1, 12)), f"CASE {s_words('substr(text, 1, 12)')} WHEN 0 THEN 'Empty comment after cleaning' WHEN 1 THEN 'Single word comment' WHEN 2 THEN 'Two words comment' WHEN 3 THEN 'Three words comment' ELSE 'Other reason' END")
+_text("removal_reason", T.removal_reason, f"CASE {s_words('text')} WHEN 0 THEN 'Empty comment after cleaning' WHEN 1 THEN 'Single word comment' WHEN 2 THEN 'Two words comment' WHEN 3 THEN 'Three words comment' ELSE 'Other reason' END")
 _text("special_pattern", lambda c: T.special(c, ("the", "///")), "contains(lower(text), 'the') OR contains(lower(text), '///')")
 _text("comment_hash", lambda c: T.comment_id(F.col("source"), c, F.col("lang"), "t"), "'tc_' || md5(source || '|' || substr(text, 1, 100) || '|' || lang || '|t')")
 _text("author_or", lambda c: T.author_or(F.when(F.col("doc_id") % 3 > 0, F.col("source")), F.col("doc_id")), "CASE WHEN doc_id % 3 > 0 THEN source ELSE 'deleted_' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) END")
@@ -190,10 +190,9 @@ def long_filter(spark, d):
     return kept.select("comment_id", F.lit(True).alias("kept")).union(gone.select("comment_id", F.lit(False)))
 
 
-@query(f"SELECT doc_id AS comment_id, {s_words('substr(text, 1, 20)')} > 3 OR contains(lower(substr(text, 1, 20)), 'the') AS kept FROM documents")
+@query(f"SELECT doc_id AS comment_id, {s_words('text')} > 3 OR contains(lower(text), 'the') AS kept FROM documents")
 def short_filter(spark, d):
-    rows = comments(spark, d).withColumn("comment_clean", F.substring("comment_raw", 1, 20))
-    kept, gone = filters.filter_short(rows, ("the",))
+    kept, gone = filters.filter_short(comments(spark, d), ("the",), "comment_raw")
     return kept.select("comment_id", F.lit(True).alias("kept")).union(gone.select("comment_id", F.lit(False)))
 
 
