@@ -136,3 +136,10 @@ def test_responses(spark):
     assert got == {i: e for i, (_, e) in enumerate(RESPONSES)}
     labels = spark.createDataFrame([('{"1":"A","2":"B","2":"C"}',), ("bad",)], "r string").select(jsontext.label_map(F.col("r"))).collect()
     assert labels[0][0] == {"1": "A", "2": "C"} and labels[1][0] is None
+
+
+def test_threads_mark_left_alone_is_empty(spark):
+    from tidemill.functions import text as T
+
+    df = spark.createDataFrame([("21/04/2025\n:",)], "c string")
+    assert df.select(T.thread_clean(df["c"]).alias("c")).first().c == ""
