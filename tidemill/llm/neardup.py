@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import stage
+from .shared import sieve, stage
 from .words import U, Words, chunks, mix
 
 SHINGLE = 5
@@ -260,7 +260,7 @@ def near_groups(docs: DataFrame, percent: int = 85, limit: int = GROUP, id_col:
     clusters = stage(components(edges, "a", "b"), "clusters").select(F.col("node").alias("id"), F.col("component").alias("cluster"))
     member = clusters.join(classes.drop("signatures"), "id")
     member = stage(member.join(member.groupBy("cluster").agg(F.sum("weight").alias("n")), "cluster"), "members")
-    text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    text = sieve(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), member, "id")
     rows = text.join(member.select("id", "d0", "d1", "cluster", "n"), "id")
     links = stage(_confirm(rows.where(F.col("n") <= limit).withColumn("place", F.col("cluster").cast("string")), percent), "links")
     if not member.where(F.col("n") > limit).isEmpty():

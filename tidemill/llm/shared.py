@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bits that sieve() broadcasts at most: 32 MB.
+SIEVE = 1 << 28
+
 _local: dict[str, str] = {}
 
 
@@ -55,6 +58,25 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sieve(rows: DataFrame, wanted: DataFrame, key: str, most: int = SIEVE) -> DataFrame:
+    """rows without most of those whose key is not in wanted (a staged table), so that a join with wanted
+    need not shuffle them.  Bits of hashed keys are broadcast, 16 to 32 a wanted row and most in all (32
+    MB); no wanted row is lost, a few others stay.  Where wanted has more rows than most, rows stay as
+    they are: the filter would pass nearly all.  Null keys go."""
+    n = wanted.count()
+    if n > most:
+        return rows
+    bits = min(most, 1 << max(15, (16 * n).bit_length()))
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    asked = wanted.select(F.floor(place / 32768).alias("_map"), (place % 32768).alias("_bit")).repartition("_map")
+    maps = asked.groupBy("_map").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    at = place % 32768
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    weight = F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (at % 8 + 1).cast("int"))
+    found = rows.withColumn("_map", F.floor(place / 32768)).join(F.broadcast(maps), "_map").where(byte.bitwiseAND(weight) != 0)
+    return found.where(F.col(key).isNotNull()).select(*rows.columns)
+
+
 def ranked(df: DataFrame, order: list[Column], name: str, rank: str = "rank") -> DataFrame:
     """Adds the 0-based place of each row in the order over the whole table, without gathering rows:
     a range sort numbers the rows of each partition, and only the partitions' sizes reach the driver."""
