@@ -28,7 +28,7 @@ SHINGLE = 5
 TREES = 32
 #: Minimum hashes of a signature, and the depths of regions: SHALLOW where the region there has at most
 #: FEW documents, else DEPTH.
-LENGTH, SHALLOW, DEPTH, FEW = 6, 4, 5, 16
+LENGTH, SHALLOW, DEPTH, FEW = 5, 4, 5, 16
 #: Documents (by weight) that are compared in one task as one group, and shingles that weigh one document.
 GROUP, HEAVY = 4096, 2048
 #: Orders in which the blocks of neighbours of a large cluster are linked first.
@@ -39,8 +39,10 @@ SKETCH, MARGIN = 256, 0.11
 
 _rng = np.random.default_rng(20240601)
 _TREE_HASHES = _rng.integers(0, 1 << 63, (TREES, LENGTH), np.uint64) * U(2) + U(1)
-#: Bytes of a signature: its tree and its minimum hashes, 32 bits each.
-_KEY = 4 * (1 + LENGTH)
+#: A signature is its tree and its minimum hashes, 16 bits each: values that differ look alike once in
+#: 65,536, which may add a candidate, but equal ones always do.
+_DIGIT = np.dtype(">u2")
+_KEY = _DIGIT.itemsize * (1 + LENGTH)
 _SKETCH_HASHES = _rng.integers(0, 1 << 63, SKETCH, np.uint64) * U(2) + U(1)
 
 
@@ -79,11 +81,11 @@ def minima(sets: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """The signatures of sets (none empty) as big-endian 32-bit numbers, which sort as bytes: [set, tree, 1 + LENGTH]."""
+    """The signatures of sets (none empty) as big-endian 16-bit numbers, which sort as bytes: [set, tree, 1 + LENGTH]."""
     least = minima(sets, _TREE_HASHES.reshape(-1)).reshape(TREES, LENGTH, len(sets))
-    out = np.empty((len(sets), TREES, 1 + LENGTH), ">u4")
+    out = np.empty((len(sets), TREES, 1 + LENGTH), _DIGIT)
     out[:, :, 0] = np.arange(TREES)
-    out[:, :, 1:] = (mix(least) >> U(32)).transpose(2, 0, 1)
+    out[:, :, 1:] = (mix(least) >> U(48)).transpose(2, 0, 1)
     return out
 
 
@@ -141,7 +143,7 @@ def orders(rows: DataFrame, trees: int = TREES) -> DataFrame:
 
 
 def _numbers(keys: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(keys.to_pylist()), ">u4").reshape(len(keys), 1 + LENGTH)
+    return np.frombuffer(b"".join(keys.to_pylist()), _DIGIT).reshape(len(keys), 1 + LENGTH)
 
 
 def common_prefix(keys: np.ndarray) -> np.ndarray:
@@ -172,7 +174,7 @@ def neighbours(rows: DataFrame) -> DataFrame:
 
     ordered = rows.select("id", "key").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
     found = stage(ordered.mapInArrow(run, "a long, b long, edge binary, at long"), "neighbours")
-    ends = found.where("edge is not null").select("a", "at", F.substring("edge", 1, 4 * (1 + DEPTH)).alias("edge"))  # two rows a partition
+    ends = found.where("edge is not null").select("a", "at", F.substring("edge", 1, _DIGIT.itemsize * (1 + DEPTH)).alias("edge"))  # two rows a partition
     line = Window.orderBy("at")
     across = ends.withColumns({"b": F.lag("a").over(line), "_was": F.lag("edge").over(line)}).where("edge = _was and a <> b").select("a", "b")
     return found.where("edge is null").select("a", "b").union(across)
@@ -269,7 +271,7 @@ def near_groups(docs: DataFrame, percent: int = 85, limit: int = GROUP, id_col:
         near = components(_confirm(rows.join(_first_blocks(orders(large, FIRST), limit), "id"), percent))
         near = stage(near.select(F.col("node").alias("id"), "component"), "near")
         known = large.join(near, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        regions = orders(known).withColumn("key", F.substring("key", 1, 4 * (1 + DEPTH)))
+        regions = orders(known).withColumn("key", F.substring("key", 1, _DIGIT.itemsize * (1 + DEPTH)))
         known = regions.unionByName(known.drop("signatures").withColumn("key", F.lit(None).cast("binary")))
         rest = _confirm(rows.join(_open_places(stage(known, "regions"), limit), "id"), percent)
         both = components(rest.union(near.select("id", "component")))
