@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -30,13 +31,43 @@ def json_part(c: Column) -> Column:
     return F.regexp_replace(F.replace(picked, F.lit("```"), F.lit("")), F.lit(r"^\s+|\s+$"), F.lit(""))
 
 
+def part_of(response: str) -> str:
+    """json_part() of one string."""
+    found = re.search(r"(?s)```json(.*?)(?:```|$)", response) or re.search(r"(?s)(\{.*\})", response)
+    return (found[1] if found else response).replace("```", "").strip()
+
+
+def rebuilt(whole: str, headings: Sequence[str]) -> list[str]:
+    """Summaries out of a response that is no JSON: each text after the first heading, up to the next
+    numbered line, followed by the first text after each further heading."""
+
+    def texts(k: int) -> list[str]:
+        end = rf"(?:\n|\\n){k + 2}\.|$" if k + 1 < len(headings) else r"\n|\\n|$"
+        return [x.strip() for x in re.findall(rf"(?s){re.escape(headings[k])}(.*?)(?:{end})", whole)]
+
+    more = [h + x[0] for k, h in enumerate(headings) if k and (x := texts(k))]
+    return ["\n".join([headings[0] + x, *more]) for x in texts(0)]
+
+
+def merged(a: Column, b: Column) -> Column:
+    """Two maps as one; b's values win."""
+    return F.map_concat(F.map_filter(a, lambda k, _: ~F.map_contains_key(b, k)), b)
+
+
+#: A property name without quotes.
+_BARE = re.compile(r"([A-Za-z_]\w*)\s*:")
+
+
 def repair(raw: str) -> str:
     """One pass over the characters: raw line breaks inside strings are escaped, missing commas between
-    values and stray ones before a bracket are mended, and what is open at the end is closed."""
+    values and stray ones before a bracket are mended, bare property names are quoted, and what is open at the end is closed."""
     out: list[str] = []
     opened: list[str] = []
     inside = skip = False
+    after = 0
     for i, ch in enumerate(raw):
+        if i < after:
+            continue
         if inside:
             if skip:
                 skip = False
@@ -51,6 +82,10 @@ def repair(raw: str) -> str:
             out.append({"\n": "\\n", "\r": "\\r", "\t": "\\t"}.get(ch, ch))
             continue
         last = next((x for x in reversed(out) if not x.isspace()), "")
+        if last in ("{", ",") and (name := _BARE.match(raw, i)):
+            out.append(f'"{name[1]}":')
+            after = name.end()
+            continue
         if ch in "\"{[" and last in ('"', "}", "]"):
             out.append(",")
         if ch in "}]" and last == ",":

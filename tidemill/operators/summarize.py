@@ -23,6 +23,17 @@ def stub_model(posts: Sequence[str]) -> list[str]:
     return [" ".join(x.split()[:8]) for x in posts]
 
 
+def retried(call: Callable[[], object], attempts: int = ATTEMPTS, wait: float = 0.0):
+    """The call's result; None once every attempt has failed."""
+    for k in range(attempts):
+        try:
+            return call()
+        except Exception:  # a model's failure is any error; the row records it
+            if k + 1 < attempts:
+                time.sleep(wait * (k + 1))
+    return None
+
+
 def _within(posts: list[str], call: Callable[[Sequence[str]], list[str]], budget: int, attempts: int, wait: float) -> list[str | None]:
     """Halves a batch while it is over the budget; one post too long is halved itself."""
     if len(posts) > 1 and sum(max(1, len(x) // 4) for x in posts) > budget:
@@ -30,13 +41,8 @@ def _within(posts: list[str], call: Callable[[Sequence[str]], list[str]], budget
         return _within(posts[:half], call, budget, attempts, wait) + _within(posts[half:], call, budget, attempts, wait)
     if len(posts) == 1 and len(posts[0]) // 4 > budget:
         posts = [posts[0][: len(posts[0]) // 2]]
-    for k in range(attempts):
-        try:
-            return list(call(posts))
-        except Exception:  # a model's failure is any error; the row records it
-            if k + 1 < attempts:
-                time.sleep(wait * (k + 1))
-    return [None] * len(posts)
+    said = retried(lambda: list(call(posts)), attempts, wait)
+    return [None] * len(posts) if said is None else said
 
 
 def map_distinct(df: DataFrame, key: str, make: Callable[[], Callable[[Sequence[str]], list[str]]] = lambda: stub_model, out: str = "summary", batch: int = BATCH, budget: int = TOKENS, attempts: int = ATTEMPTS, wait: float = 0.0, clients: int | None = None) -> DataFrame:

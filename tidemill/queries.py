@@ -6,13 +6,15 @@ labels for a labeller, conversations for posts with replies, pages for page sour
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import dates, jsontext
 from .functions import text as T
 from .operators import audit, capacity, filters, groups, label, report, summarize
-from .plans import curate
+from .plans import curate, models
 from .rules import EMOTICONS, FIRST_EMOTICONS, FIRST_UI_PHRASES, KEPT_LETTERS, QUOTAS, SAMPLE, UI_PHRASES
 from .sources import html, readers, writers
 
@@ -336,6 +338,19 @@ def summary_join_back(spark, d):
     return summarize.join_back(rows, summarize.map_distinct(rows, "post_raw")).select("conv_id", "turn", "summary")
 
 
+def _summary_client():
+    """Answers in a fence, without quotes around names, and in reverse order."""
+    item = lambda x: f'{{id: "{x["id"]}", summary: "n{len(x["text"])}"}}'
+    return lambda prompt: f"```json\n{{results: [{', '.join(map(item, reversed(json.loads(prompt))))}]}}\n```"
+
+
+@query("""
+    WITH p AS (SELECT conv_id, text AS post_raw FROM conversations WHERE turn = 0)
+    SELECT c.conv_id, c.turn, 'n' || length(p.post_raw) AS summary FROM conversations c LEFT JOIN p USING (conv_id) WHERE c.turn > 0""")
+def summarise_plan(spark, d):
+    return models.summarise(_threads(spark, d), _summary_client, budget=1 << 40).select("conv_id", "turn", "summary")
+
+
 @query("SELECT 'post_' || (doc_id + 1) AS post_id, doc_id AS comment_id, text AS comment_raw, '01-02-2024' AS created_date, CASE WHEN doc_id % 2 = 0 THEN 'youtube' ELSE 'Unknown' END AS platform FROM documents")
 def backfill_columns(spark, d):
     rows = comments(spark, d).drop("post_id", "platform")
@@ -403,6 +418,23 @@ def label_batches(spark, d):
     return rows.select("summary", "batch", F.size("ids").cast("long").alias("n"))
 
 
+def _label_client():
+    def answer(prompt: str) -> str:
+        ids = [int(x) for x in json.loads(prompt)]
+        return json.dumps({str(i): ("FIRST", "odd", "SECOND")[min(i % 7, 2)] for i in ids} | {"-1": "FIRST"})
+
+    return answer
+
+
+@query(f"""
+    WITH s AS (SELECT *, CASE doc_id % 7 WHEN 0 THEN 'FIRST' WHEN 1 THEN 'NEUTRAL' ELSE 'SECOND' END AS said FROM documents),
+    c AS (SELECT *, CASE WHEN {_A} THEN 'FIRST' WHEN {_B} THEN 'SECOND' ELSE said END AS ruled FROM s)
+    SELECT doc_id AS comment_id, CASE WHEN source IS NULL THEN '' WHEN ruled = 'FIRST' AND contains(lower(text), 'the') AND NOT ({_STRONG}) THEN 'NEUTRAL' ELSE ruled END AS label FROM c""")
+def label_plan(spark, d):
+    rows = comments(spark, d).withColumn("summary", F.col("post_id"))
+    return models.label_all(rows, SAMPLE, _label_client, [F.col("comment_id")], template="{comments}").select("comment_id", "label")
+
+
 _OTHER = "CASE WHEN toxic = 1 THEN 'FIRST' WHEN quality = 0 THEN 'SECOND' ELSE 'NEUTRAL' END"
 
 
