@@ -631,3 +631,16 @@ def test_pipeline_odd(spark, odd):
     for name, step in P.STAGES:
         empty = stage(step(spark, empty, DATA), name)
         assert empty.count() == 0
+
+
+def test_sieve_loses_no_wanted_row(spark):
+    from tidemill.llm.shared import sieve
+
+    rows = spark.range(50_000).withColumn("_b", F.lit("x")).unionByName(spark.createDataFrame([(None, "y"), (7, "z")], "id long, _b string"))
+    wanted = spark.range(50_000).where("id % 50 = 7")
+    got = sieve(rows, wanted, "id")
+    ids = [r.id for r in got.collect()]
+    assert got.columns == rows.columns and set(range(7, 50_000, 50)) <= set(ids) and None not in ids
+    assert ids.count(7) == 2 and len(ids) < 6_000
+    assert sieve(rows, wanted, "id", most=999).count() == 50_002
+    assert sieve(rows, wanted.limit(0), "id").count() == 0
