@@ -427,6 +427,24 @@ def test_chain_matches_brute_force():
         assert own == pytest.approx(max(score.values()))
 
 
+def test_previous_factors_match_brute_force():
+    from tidemill.llm.repeats import previous_factors, previous_smaller, suffix_order
+
+    rng = np.random.default_rng(7)
+    for length, letters, size in [(1, 2, 40), (5, 2, 300), (8, 3, 200), (20, 2, 700), (100, 1, 500), (60, 250, 900)]:
+        buf = rng.integers(0, letters, size).astype(np.uint8)
+        buf[size // 2 : size // 2 + size // 3] = buf[: size // 3]
+        for at in (np.arange(size - length + 1), np.flatnonzero(rng.random(size - length + 1) < 0.5)):
+            keys = [bytes(buf[i : i + length]) for i in at]
+            order, rank = suffix_order(buf, at, length)
+            assert order.tolist() == sorted(range(len(at)), key=lambda i: (keys[i], i))
+            assert all((rank[i] == rank[j]) == (keys[i] == keys[j]) for i, j in zip(order, order[1:]))
+            factor = previous_factors(buf, at, length)
+            for i, f in enumerate(factor.tolist()):
+                assert (f >= 0) == (keys[i] in keys[:i]) and (f < 0 or (f < i and keys[f] == keys[i]))
+            assert previous_smaller(order).tolist() == [max((j for j in range(i) if order[j] < order[i]), default=-1) for i in range(len(order))]
+
+
 @pytest.mark.parametrize("limit", [20_000, 0])
 @pytest.mark.parametrize("which", ["docs", "odd"])
 def test_long_repeats(request, which, limit):

@@ -1,12 +1,12 @@
-"""Removal of long repeated byte strings, by previous-factor arrays over content-defined states.
-
-A suffix matters here only by its first `length` bytes, so suffix order is cut there.  The positions of a
-text fall into states: runs of windows (a window is the first `length` bytes of a suffix) that share
-their least k-gram hash.  Equal windows have equal least hashes, wherever they lie, so the suffix order
-can be made state by state: states equal as a whole are settled by one hash each, and only states that
-share their k-gram but not their whole content send their bytes to be sorted.  There the windows are
-ordered by fingerprint and position, and the previous and next in that order are the earlier and later
-factors of each.
+"""Removal of long repeated byte strings, by longest-previous-factor arrays over content-defined states.
+
+A suffix matters here only by its first `length` bytes, so suffix order and factors are cut there.  The
+positions of a text fall into states: runs of windows (a window is the first `length` bytes of a suffix) that
+share their least k-gram hash.  Equal windows have equal least hashes, wherever they lie, so no factor leads
+from one k-gram to another, and the suffix order can be made k-gram by k-gram: states equal as a whole are
+settled by one hash each, and only states that share their k-gram but not their whole content send their
+bytes to be sorted.  There the suffixes are put into order of their bytes, and the previous and the next
+smaller position in that order give each its earlier factor.
 """
 
 from __future__ import annotations
@@ -19,12 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import stage
-from .words import U, mix, powers
+from .words import U, chunks, mix, powers
 
 LENGTH = 400
 K = 64
 #: States of one k-gram that one task sorts, at most; more are compared window by window in a shuffle.
-GROUP = 20_000
+GROUP = 8_192
+#: States that are sorted together, about; those of one k-gram always are, up to GROUP.
+TOGETHER = 512
+SPANS = "array<struct<start:long,end:long>>"
 _MAX = U(0xFFFFFFFFFFFFFFFF)
 
 
@@ -87,34 +90,25 @@ def states(text: bytes, length: int = LENGTH, k: int = K) -> dict[str, np.ndarra
     return {"first": first, "last": last, "key": key, "whole": hashes.spans(first, last + length), "left": left, "right": right, "many": many}
 
 
-def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, bytes, list]]:
-    for b in batches:
-        for start in range(0, b.num_rows, 64):
-            part = b.slice(start, 64)
-            texts = part.column(1).cast(pa.binary()).to_pylist()
-            rest = [part.column(i).to_pylist() for i in range(2, part.num_columns)]
-            for i, (r, t) in enumerate(zip(part.column(0).to_pylist(), texts, strict=True)):
-                yield r, t or b"", [c[i] for c in rest]
-
-
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
 def _state_rows(rows: DataFrame, length: int) -> DataFrame:
-    """Distinct states of each text: row, tag, key, whole, lhash, rhash, many, times."""
+    """All states of each text: row, tag, first, last, key, whole, lhash, rhash, many."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, text, (tag,) in _rows(batches):
-            s = states(text, length)
-            if s is not None:
-                whole, at, times = np.unique(s["whole"], return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * len(at), pa.int64()), pa.array([tag] * len(at), pa.int64()), _signed(s["key"][at]), _signed(whole), _signed(s["left"][at]), _signed(s["right"][at]), pa.array(s["many"][at]), pa.array(times)],
-                    ["row", "tag", "key", "whole", "lhash", "rhash", "many", "times"],
-                )
+        for texts, part in chunks(batches, 2):
+            for row, tag, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts, strict=True):
+                s = states(text, length)
+                if s is not None:
+                    n = len(s["key"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, row)), pa.array(np.full(n, tag)), pa.array(s["first"].astype(np.int32)), pa.array(s["last"].astype(np.int32)), *(_signed(s[c]) for c in ("key", "whole", "left", "right")), pa.array(s["many"])],
+                        ["row", "tag", "first", "last", "key", "whole", "lhash", "rhash", "many"],
+                    )
 
-    return rows.mapInArrow(run, "row long, tag long, key long, whole long, lhash long, rhash long, many boolean, times long")
+    return rows.mapInArrow(run, "row long, tag long, first int, last int, key long, whole long, lhash long, rhash long, many boolean")
 
 
 def _wanted(distinct: DataFrame) -> DataFrame:
@@ -124,47 +118,103 @@ def _wanted(distinct: DataFrame) -> DataFrame:
     rows = distinct.join(by_key, "key")
     sides = [rows.where(f"{s} <> 0").groupBy("key", s).agg(F.count("*").alias(f"{s}_n")).where(f"{s}_n > 1") for s in ("lhash", "rhash")]
     rows = rows.join(sides[0], ["key", "lhash"], "left").join(sides[1], ["key", "rhash"], "left")
-    return rows.where("any_many or lhash_n is not null or rhash_n is not null").select("key", "whole", "row", "tag", "n")
+    return rows.where("any_many or lhash_n is not null or rhash_n is not null").select("key", "whole", "row", "tag", "first", "last", "n")
 
 
 def _contexts(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """key, whole, n, bytes of the wanted states, each from one text that has it, and of its copies one."""
-    asked = wanted.groupBy("row", "tag").agg(F.collect_list(F.struct("whole", "n")).alias("asked"))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, text, (asked,) in _rows(batches):
-            s = states(text, length)
-            if s is None:
-                continue
-            sizes = {x["whole"]: x["n"] for x in asked}
-            whole, at = np.unique(s["whole"], return_index=True)
-            own = [(k, w, sizes[w], text[a : b + length]) for k, w, a, b in zip(s["key"][at].view(np.int64).tolist(), whole.view(np.int64).tolist(), s["first"][at].tolist(), s["last"][at].tolist(), strict=True) if w in sizes]
-            if own:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*own, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["key", "whole", "n", "bytes"])
-
-    return texts.join(asked, ["row", "tag"]).select("row", "text", "asked").mapInArrow(run, "key long, whole long, n long, bytes binary")
+    """key, whole, n, bytes of the wanted states, each cut out of one text that has it, and of its copies one."""
+    asked = wanted.groupBy("row", "tag").agg(F.collect_list(F.struct("key", "whole", "n", "first", "last")).alias("asked"))
+    raw = F.col("text").cast("binary")
+    own = F.transform("asked", lambda x: F.struct(x["key"].alias("key"), x["whole"].alias("whole"), x["n"].alias("n"), F.substring(raw, x["first"] + 1, x["last"] - x["first"] + length).alias("bytes")))
+    # rows of equal ids and texts give a state twice; its times are over 1 then, so its windows do not count
+    return texts.join(asked, ["row", "tag"]).select(F.inline(own))
+
+
+def _dense(x: np.ndarray) -> tuple[np.ndarray, int]:
+    """The rank of each value among the distinct values, and how many those are."""
+    order = np.argsort(x)
+    x = x[order]
+    number = np.concatenate([[0], np.cumsum(x[1:] != x[:-1])])
+    rank = np.empty(len(x), U)
+    rank[order] = number
+    return rank, int(number[-1]) + 1
+
+
+def suffix_order(buf: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of buf at the places `at` (ascending; `length` bytes follow each) in order of their first
+    `length` bytes, equal ones in order of place, as numbers into `at`; and a rank per suffix, equal for
+    equal bytes.  Ranks of short prefixes are packed, as many as 64 bits hold, into ranks of longer ones."""
+    n, reach = len(buf), min(8, length)
+    padded = np.concatenate([buf, np.zeros(length, np.uint8)])
+    key = np.zeros(n, U)
+    for k in range(reach):
+        key = (key << U(8)) | padded[k : k + n]
+    while reach < length:
+        rank, many = _dense(key)
+        bits = max(1, (many - 1).bit_length())
+        parts = min(64 // bits, -(-length // reach))
+        places = at if parts * reach >= length else np.arange(n)
+        rank = np.concatenate([rank, np.zeros(length, U)])
+        key = np.zeros(len(places), U)
+        for k in range(parts):
+            key = (key << U(bits)) | rank[places + min(k * reach, length - reach)]
+        reach = min(parts * reach, length)
+    key = key if len(key) == len(at) else key[at]
+    order = np.argsort(key, kind="stable")
+    rank = np.empty(len(at), np.int64)
+    rank[order] = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])]) if len(at) else 0
+    return order, rank
+
+
+def previous_smaller(x: np.ndarray) -> np.ndarray:
+    """For each value of x (all different) the place of the nearest smaller one before it, -1 where there is
+    none.  All values between a place and where it points are larger, so pointers may jump along each other."""
+    to = np.arange(-1, len(x) - 1)
+    todo = np.flatnonzero((to >= 0) & (x[to] > x))
+    while len(todo):
+        to[todo] = to[to[todo]]
+        todo = todo[(to[todo] >= 0) & (x[to[todo]] > x[todo])]
+    return to
+
+
+def previous_factors(buf: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """For each suffix at the places `at`, the number of an earlier one that shares its first `length` bytes,
+    -1 where there is none: the longest previous factor, cut at `length`.
+
+    Of all earlier suffixes, one that shares most with a suffix is the nearest before or the nearest after it
+    in suffix order: the previous or the next smaller position."""
+    order, rank = suffix_order(buf, at, length)
+    factor = np.full(len(at), -1)
+    for seq in (order, order[::-1]):
+        near = previous_smaller(seq)
+        has = near >= 0
+        one, other = seq[has], seq[near[has]]
+        same = rank[one] == rank[other]
+        factor[one[same]] = other[same]
+    return factor
 
 
 def _compare(contexts: DataFrame, length: int) -> DataFrame:
     """whole, a, b: first and last repeated window of a state, counted from its first."""
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [Hashes(x).windows(length) for x in table.column("bytes").to_pylist()]
-        h = np.concatenate(parts)
-        row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        place = np.concatenate([np.arange(len(p)) for p in parts])
-        order = np.argsort(h, kind="stable")  # stable: equal windows stay in order of position
-        same = h[order][1:] == h[order][:-1]
-        found = np.zeros(len(h), bool)
-        found[order[1:]] |= same  # it has a previous factor
-        found[order[:-1]] |= same  # it has a next one
+        texts = table.column("bytes").to_pylist()
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        windows = sizes - length + 1
+        row = np.repeat(np.arange(len(texts)), windows)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+        factor = previous_factors(np.frombuffer(b"".join(texts), np.uint8), np.repeat(np.cumsum(sizes) - sizes, windows) + place, length)
+        found = factor >= 0
+        found[factor[found]] = True  # an earlier copy is covered too
         row, place = row[found], place[found]
         own, start = np.unique(row, return_index=True)
         ends = np.append(start[1:], len(row)) - 1
         whole = table.column("whole").to_numpy()
         return pa.table({"whole": pa.array(whole[own], pa.int64()), "a": pa.array(place[start] if len(own) else [], pa.int64()), "b": pa.array(place[ends] if len(own) else [], pa.int64())})
 
-    return contexts.groupBy("key").applyInArrow(run, "whole long, a long, b long")
+    # windows of different k-grams differ, so about TOGETHER contexts can be ordered together
+    buckets = max(1, contexts.count() // TOGETHER)
+    return contexts.groupBy(F.pmod("key", F.lit(buckets)).alias("bucket")).applyInArrow(run, "whole long, a long, b long")
 
 
 def _compare_hot(contexts: DataFrame, length: int) -> DataFrame:
@@ -191,48 +241,40 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, limit: int = GROUP, id
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.xxhash64(text).alias("row"), F.xxhash64(F.col(id_col)).alias("tag"), F.col(id_col), text.alias("text"))
-    once = texts.where(F.octet_length("text") >= length).select("row", "text", "tag")
+    once = texts.where(F.octet_length("text") >= length).select("row", "tag", "text")
     made = stage(_state_rows(once, length), "states")
-    distinct = stage(made.groupBy("key", "whole").agg(F.sum("times").alias("times"), F.min(F.struct("row", "tag")).alias("x"), F.first("lhash").alias("lhash"), F.first("rhash").alias("rhash"), F.first("many").alias("many")).select("*", "x.row", "x.tag").drop("x"), "distinct", tidy=True)
+    one = F.min(F.struct("row", "tag", "first", "last"))
+    distinct = stage(made.groupBy("key", "whole").agg(F.count("*").alias("times"), one.alias("x"), F.first("lhash").alias("lhash"), F.first("rhash").alias("rhash"), F.first("many").alias("many")).select("*", "x.*").drop("x"), "distinct", tidy=True)
     contexts = stage(_contexts(once, _wanted(distinct), length), "contexts", tidy=True)
     found = _compare(contexts.where(F.col("n") <= limit), length)
     if not contexts.where(F.col("n") > limit).isEmpty():
         found = found.union(_compare_hot(contexts.where(F.col("n") > limit), length))
     full = distinct.where("times > 1").select("whole", F.lit(0).cast("long").alias("a"), F.lit(-1).cast("long").alias("b"))
     cover = full.union(found.join(full.select("whole"), "whole", "left_anti").groupBy("whole").agg(F.min("a").alias("a"), F.max("b").alias("b")))
-    by_row = made.select("row", "whole").distinct().join(cover, "whole").groupBy("row").agg(F.collect_list(F.struct("whole", "a", "b")).alias("cover"))
-    id_type = docs.schema[id_col].dataType.simpleString()
+    start, end = F.col("first") + F.col("a"), F.when(F.col("b") < 0, F.col("last")).otherwise(F.col("first") + F.col("b")) + length
+    edges = made.select("row", "whole", "first", "last").distinct().join(cover, "whole").select("row", F.struct(start.alias("start"), end.alias("end")).alias("edge"))
+    by_row = _merged(edges.groupBy("row").agg(F.collect_list("edge").alias("edges")))
+    none = F.array().cast(SPANS)
+    return texts.join(by_row, "row", "left").select(id_col, F.col("text").cast("binary").alias("text"), F.coalesce("spans", none).alias("spans"))
+
+
+def _merged(edges: DataFrame) -> DataFrame:
+    """row and spans: its edges as maximal runs in order."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for start in range(0, b.num_rows, 64):
-                part = b.slice(start, 64)
-                spans = []
-                for text, cover in zip(part.column(1).cast(pa.binary()).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    spans.append(_spans(text, cover or [], length))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.binary()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["id", "text", "spans"])
-
-    joined = texts.join(by_row, "row", "left").select(id_col, "text", "cover")
-    return joined.mapInArrow(run, f"id {id_type}, text binary, spans array<struct<start:long,end:long>>").withColumnRenamed("id", id_col)
-
-
-def _spans(text: bytes, cover: list, length: int) -> list[dict[str, int]]:
-    s = states(text, length) if cover else None
-    if s is None:
-        return []
-    known = {x["whole"]: (x["a"], x["b"]) for x in cover}
-    whole, last, edges = s["whole"].view(np.int64).tolist(), s["last"].tolist(), []
-    for w, x, y in zip(whole, s["first"].tolist(), last, strict=True):
-        if w in known:
-            a, b = known[w]
-            edges.append((x + a, (y if b < 0 else x + b) + length))
-    out: list[dict[str, int]] = []
-    for a, b in sorted(edges):
-        if out and a <= out[-1]["end"]:
-            out[-1]["end"] = max(out[-1]["end"], b)
-        else:
-            out.append({"start": a, "end": b})
-    return out
+            spans = []
+            for found in b.column(1).to_pylist():
+                out: list[dict[str, int]] = []
+                for start, end in sorted((x["start"], x["end"]) for x in found):
+                    if out and start <= out[-1]["end"]:
+                        out[-1]["end"] = max(out[-1]["end"], end)
+                    else:
+                        out.append({"start": start, "end": end})
+                spans.append(out)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["row", "spans"])
+
+    return edges.mapInArrow(run, f"row long, spans {SPANS}")
 
 
 def cut(spanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
