@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stage
+from .shared import sieve, stage
 from .words import U, chunks, mix, powers
 
 LENGTH = 400
@@ -111,11 +111,19 @@ def _state_rows(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, "row long, tag long, first int, last int, key long, whole long, lhash long, rhash long, many boolean")
 
 
-def _wanted(distinct: DataFrame) -> DataFrame:
+def _likely(made: DataFrame) -> DataFrame:
+    """Distinct states that occur again or share their k-gram with another place: key, whole, times, row, tag,
+    first and last of one occurrence, lhash, rhash, n (distinct states of the k-gram), any_many."""
+    one = F.min(F.struct("row", "tag", "first", "last"))
+    distinct = made.groupBy("key", "whole").agg(F.count("*").alias("times"), one.alias("x"), F.first("lhash").alias("lhash"), F.first("rhash").alias("rhash"), F.first("many").alias("many")).select("*", "x.*").drop("x")
+    by_key = distinct.groupBy("key").agg(F.count("*").alias("n"), F.max("many").alias("any_many")).where("n > 1 or any_many")
+    return distinct.join(by_key, "key", "left").where("times > 1 or n is not null").drop("many")
+
+
+def _wanted(likely: DataFrame) -> DataFrame:
     """States whose windows have to be compared: another state has the same k-gram and the same bytes on
     one side of it; every window holds one of the two sides whole."""
-    by_key = distinct.groupBy("key").agg(F.count("*").alias("n"), F.max("many").alias("any_many")).where("n > 1 or any_many")
-    rows = distinct.join(by_key, "key")
+    rows = likely.where("n is not null")
     sides = [rows.where(f"{s} <> 0").groupBy("key", s).agg(F.count("*").alias(f"{s}_n")).where(f"{s}_n > 1") for s in ("lhash", "rhash")]
     rows = rows.join(sides[0], ["key", "lhash"], "left").join(sides[1], ["key", "rhash"], "left")
     return rows.where("any_many or lhash_n is not null or rhash_n is not null").select("key", "whole", "row", "tag", "first", "last", "n")
@@ -243,16 +251,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, limit: int = GROUP, id
     texts = docs.select(F.xxhash64(text).alias("row"), F.xxhash64(F.col(id_col)).alias("tag"), F.col(id_col), text.alias("text"))
     once = texts.where(F.octet_length("text") >= length).select("row", "tag", "text")
     made = stage(_state_rows(once, length), "states")
-    one = F.min(F.struct("row", "tag", "first", "last"))
-    distinct = stage(made.groupBy("key", "whole").agg(F.count("*").alias("times"), one.alias("x"), F.first("lhash").alias("lhash"), F.first("rhash").alias("rhash"), F.first("many").alias("many")).select("*", "x.*").drop("x"), "distinct", tidy=True)
-    contexts = stage(_contexts(once, _wanted(distinct), length), "contexts", tidy=True)
+    likely = stage(_likely(made), "likely", tidy=True)
+    wanted = stage(_wanted(likely), "wanted", tidy=True)
+    contexts = stage(_contexts(sieve(once, wanted, "row"), wanted, length), "contexts", tidy=True)
     found = _compare(contexts.where(F.col("n") <= limit), length)
     if not contexts.where(F.col("n") > limit).isEmpty():
         found = found.union(_compare_hot(contexts.where(F.col("n") > limit), length))
-    full = distinct.where("times > 1").select("whole", F.lit(0).cast("long").alias("a"), F.lit(-1).cast("long").alias("b"))
-    cover = full.union(found.join(full.select("whole"), "whole", "left_anti").groupBy("whole").agg(F.min("a").alias("a"), F.max("b").alias("b")))
+    full = likely.where("times > 1").select("whole", F.lit(0).cast("long").alias("a"), F.lit(-1).cast("long").alias("b"))
+    cover = stage(full.union(found.join(full.select("whole"), "whole", "left_anti").groupBy("whole").agg(F.min("a").alias("a"), F.max("b").alias("b"))), "cover", tidy=True)
     start, end = F.col("first") + F.col("a"), F.when(F.col("b") < 0, F.col("last")).otherwise(F.col("first") + F.col("b")) + length
-    edges = made.select("row", "whole", "first", "last").distinct().join(cover, "whole").select("row", F.struct(start.alias("start"), end.alias("end")).alias("edge"))
+    covered = sieve(made.select("row", "whole", "first", "last"), cover, "whole").distinct()
+    edges = covered.join(cover, "whole").select("row", F.struct(start.alias("start"), end.alias("end")).alias("edge"))
     by_row = _merged(edges.groupBy("row").agg(F.collect_list("edge").alias("edges")))
     none = F.array().cast(SPANS)
     return texts.join(by_row, "row", "left").select(id_col, F.col("text").cast("binary").alias("text"), F.coalesce("spans", none).alias("spans"))
