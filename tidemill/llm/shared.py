@@ -35,6 +35,12 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tidemill-{spark.sparkContext.applicationId}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that later plans no longer read."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def stage(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: later plans start from files that
     outlive any executor.  release() deletes the session's tables.
@@ -53,9 +59,7 @@ def stage(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Deletes every table that stage() wrote in this session."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    discard(spark, shared_dir(spark))
 
 
 def sieve(rows: DataFrame, wanted: DataFrame, key: str, most: int = SIEVE) -> DataFrame:
