@@ -19,9 +19,17 @@ def label_map(c: Column) -> Column:
     return F.from_json(c, "map<string,string>")
 
 
+def json_string(c: Column) -> Column:
+    """A string as JSON text; null as null."""
+    return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+
+
 def comments_json(keys: Column, values: Column) -> Column:
-    """Two arrays as one JSON object."""
-    return F.to_json(F.map_from_arrays(keys, values))
+    """Two arrays as one JSON object: of equal keys the last counts, null keys are left out."""
+    later = lambda i: F.slice(keys, i + 2, F.size(keys))
+    pairs = F.zip_with(keys, values, lambda k, v: F.struct(k.alias("k"), v.alias("v")))
+    pairs = F.filter(pairs, lambda x, i: x.k.isNotNull() & ~F.array_contains(F.coalesce(later(i), F.array()), x.k))
+    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda x: F.concat(json_string(x.k), F.lit(":"), json_string(x.v))), ","), F.lit("}"))
 
 
 def json_part(c: Column) -> Column:

@@ -119,19 +119,26 @@ def squeeze(c: Column) -> Column:
     return F.regexp_replace(text(c), F.lit(r"(?iu)(\p{L})\1{2,}"), F.lit("$1$1"))
 
 
-def lexicon_patterns(entries: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
-    """Patterns in the order they apply: mixed, pure marks, words; each by falling escaped length."""
+def lexicon_order(entries: Iterable[tuple[str, str]]) -> list[tuple[str, str, bool]]:
+    """(slang, standard, whether it is a word) in the order they apply: mixed, pure marks, words; each by
+    falling escaped length."""
     lists: tuple[list, list, list] = ([], [], [])
     for slang, standard in entries:
         pure, mixed = re.fullmatch(r"[^\w\s]+", slang), re.search(r"[^\w\s]", slang) and re.search(r"\w", slang)
         kind = 1 if pure else 0 if mixed else 2
-        lists[kind].append((len(re.escape(slang)), rf"\b{quoted(slang)}\b" if kind == 2 else quoted(slang), literal(standard)))
-    return [(p, r) for own in lists for _, p, r in sorted(own, key=lambda x: -x[0])]
+        lists[kind].append((slang, standard, kind == 2))
+    return [x for own in lists for x in sorted(own, key=lambda x: -len(re.escape(x[0])))]
+
+
+def lexicon_patterns(entries: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The same as Java patterns and replacements."""
+    return [(rf"\b{quoted(slang)}\b" if word else quoted(slang), literal(standard)) for slang, standard, word in lexicon_order(entries)]
 
 
 def lexical(c: Column, entries: Iterable[tuple[str, str]]) -> Column:
     """Rewrites by an ordered lexicon, each entry on the output of those before it, ignoring case.
-    Replacements are literal.  Null stays null."""
+    Replacements are literal.  Null stays null.  One pass an entry: for large lexicons see
+    lexicon.rewritten(), which gives the same."""
     return reduce(lambda x, e: sub(x, e[0], e[1], icase=True), lexicon_patterns(entries), c)
 
 

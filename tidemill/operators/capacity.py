@@ -23,17 +23,22 @@ def batches(df: DataFrame, size: int, group: str | None = "summary") -> DataFram
 
 
 def capacity(df: DataFrame, model: str, keys: int, size: int = 50, group: str | None = "summary") -> DataFrame:
-    """One row: batches, a size that fits the tokens of a minute, rates over all keys, time, feasibility."""
+    """One row of twelve figures: rows, batches, a size that fits the tokens of a minute, quotas over all
+    keys, time, feasibility, what stands in the way, and what to do about it."""
     quotas = {m: (rpm, rpd, tpm) for m, rpm, rpd, tpm in rules.QUOTAS}
     rpm, rpd, tpm = (x * keys for x in quotas.get(model, quotas[rules.DEFAULT_MODEL]))
     if tpm // (COMMENT_TOKENS * size + BATCH_TOKENS) < rpm:
         size = max(10, (tpm // rpm) // COMMENT_TOKENS)
     effective = int(rpm * 0.9)
-    minutes = F.col("batches") / F.lit(float(effective))
-    return df.agg(F.count("*").alias("total_comments")).crossJoin(batches(df, size, group)).select(
+    n = F.col("batches").cast("long")
+    minutes = n / F.lit(float(effective))
+    feasible = (n <= rpd) & F.lit(rpm >= 6)
+    none = F.array().cast("array<string>")
+    return df.agg(F.count("*").alias("total_comments")).crossJoin(batches(df, size, group)).select(  # one row each
         "total_comments", F.col("batches").alias("estimated_batches"), F.lit(size).alias("adjusted_batch_size"), F.lit(rpm).alias("total_rpm_capacity"), F.lit(tpm).alias("total_tpm_capacity"),
         F.lit(rpd).alias("total_rpd_capacity"), F.lit(effective).alias("effective_rpm"), minutes.alias("estimated_minutes"), (minutes / 60 * 1.1).alias("estimated_hours"),
-        ((F.col("batches") <= rpd) & F.lit(rpm >= 6)).alias("is_feasible"),
+        feasible.alias("is_feasible"), F.when(feasible, none).otherwise(F.array(F.concat(F.lit("RPD limit: "), n.cast("string"), F.lit(f" > {rpd}")))).alias("capacity_issues"),
+        F.when(feasible, none).otherwise(F.array(F.lit("Split processing across multiple days"))).alias("recommendations"),
     )
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import places
+
 SEED = 42
 
 
@@ -63,12 +65,12 @@ def tail(df: DataFrame, key: str, n: int = 5) -> DataFrame:
 
 def sequence(df: DataFrame, group: str, order: list[Column], name: str = "seq") -> DataFrame:
     """1, 2, ... inside each group."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    return places.sequence(df, group, order, name)
 
 
 def chunks(df: DataFrame, group: str, order: list[Column], size: int, name: str = "batch") -> DataFrame:
     """Batches of `size` rows inside each group, numbered from 0."""
-    return df.withColumn(name, F.floor((F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1) / size))
+    return places.chunks(df, order, size, group, name)
 
 
 def distinct_first_seen(df: DataFrame, column: str, order: str) -> DataFrame:

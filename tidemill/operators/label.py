@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import jsontext
 from ..functions import text as T
 from ..rules import RuleSet
-from .groups import chunks
+from . import places
 
 
 def fill(said: Column, rules: RuleSet) -> Column:
@@ -50,11 +50,13 @@ def label_comments(df: DataFrame, rules: RuleSet, model: DataFrame | None = None
 
 def label_batches(df: DataFrame, order: list[Column], size: int = 50, key: str = "comment_id", column: str = "comment_raw") -> DataFrame:
     """One row per call: summary, batch, ids and the JSON of its comments (cut to 300 characters, the
-    summary to 200)."""
-    rows = chunks(df.where(F.col("summary").isNotNull()), "summary", order, size)
+    summary to 200).  Rows without a summary or an id are in no call; of rows of a batch that share an id
+    the last by text is shown, and its answer counts for all of them."""
+    rows = places.chunks(df.where(F.col("summary").isNotNull() & F.col(key).isNotNull()), order, size, "summary")
     items = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("id"), T.ellipsis(F.col(column), 300).alias("body"))))
     out = rows.groupBy("summary", "batch").agg(items.alias("items"))
-    return out.select(T.ellipsis(F.col("summary"), 200).alias("summary"), "batch", F.col("items.id").alias("ids"), jsontext.comments_json(F.col("items.id"), F.col("items.body")).alias("comments"))
+    ids = F.array_distinct(F.col("items.id"))
+    return out.select(T.ellipsis(F.col("summary"), 200).alias("summary"), "batch", ids.alias("ids"), jsontext.comments_json(F.col("items.id"), F.col("items.body")).alias("comments"))
 
 
 def exploded_labels(responses: DataFrame, column: str = "response") -> DataFrame:
@@ -71,6 +73,30 @@ def compare(a: DataFrame, b: DataFrame, ordinal: str, column: str = "comment_raw
     return rows.withColumn("same", F.coalesce(F.col("model1_label") == F.col("model2_label"), F.lit(False))).withColumn("comment_text", T.ellipsis(F.col(column), 100))
 
 
+def compare_by_position(a: DataFrame, b: DataFrame, order_a: list[Column], order_b: list[Column], column: str = "comment_raw") -> DataFrame | None:
+    """compare() of two label sets in orders of their own: the first rows of both, the second ones, and so
+    on, with the row's place as index."""
+    return compare(places.ordinals(a, order_a, "index"), places.ordinals(b, order_b, "index"), "index", column)
+
+
+def differences(compared: DataFrame, n: int = 20, order: str = "index") -> DataFrame:
+    """The first n rows whose labels differ."""
+    return compared.where("not same").orderBy(order).limit(n)
+
+
+def comparison_report(compared: DataFrame, names: tuple[str, str] = ("model1", "model2"), shown: int = 10) -> DataFrame:
+    """The lines of a comparison as one column, for a text file: totals, each label's counts, and the first
+    differences.  It has shown + 5 lines and one for each label."""
+    a = agreement(compared).select(F.lit(0).alias("part"), F.lit(0).cast("long").alias("at"), F.concat_ws(
+        "\n", F.concat(F.lit("Records: "), F.col("total").cast("string")), F.concat(F.lit("Same labels: "), F.col("matches").cast("string")),
+        F.concat(F.lit("Different labels: "), F.col("differences").cast("string")), F.concat(F.lit("Agreement: "), F.format_number(F.coalesce("accuracy", F.lit(0.0)), 1), F.lit(" %")),
+    ).alias("value"))
+    counts = distributions(compared)
+    b = counts.select(F.lit(1).alias("part"), F.lit(0).cast("long").alias("at"), F.concat(F.coalesce("label", F.lit("-")), F.lit(f": {names[0]} "), F.col("model1").cast("string"), F.lit(f", {names[1]} "), F.col("model2").cast("string")).alias("value"))
+    c = differences(compared, shown).select(F.lit(2).alias("part"), F.col("index").alias("at"), F.concat(F.col("index").cast("string"), F.lit(". "), F.col("comment_text"), F.lit(" | "), F.coalesce("model1_label", F.lit("-")), F.lit(" | "), F.coalesce("model2_label", F.lit("-"))).alias("value"))
+    return a.unionByName(b).unionByName(c).orderBy("part", "at", "value").select("value")
+
+
 def agreement(compared: DataFrame) -> DataFrame:
     n, same = F.count("*"), F.count_if("same")
     return compared.agg(n.alias("total"), same.alias("matches"), (n - same).alias("differences"), F.try_divide(same * 100.0, n).alias("accuracy"))

@@ -16,6 +16,8 @@ from ..functions import jsontext
 from ..operators import label, summarize
 from ..operators.throttle import KeyPool
 from ..rules import RuleSet
+from ..sources import tables
+from .ledger import WAVE, Ledger, Pace, call_id
 
 Client = Callable[[str], str]
 
@@ -52,32 +54,56 @@ def prompted(client: Client, template: str = "{entries}", headings: Sequence[str
     return call
 
 
-def summarise(df: DataFrame, make: Callable[[], Client], template: str = "{entries}", headings: Sequence[str] = (), placeholder: str | None = None, key: str = "post_raw", **limits) -> DataFrame:
-    """df with summary: each distinct post is asked for once; limits are those of map_distinct()."""
-    said = summarize.map_distinct(df, key, lambda: prompted(make(), template, headings, placeholder), **limits)
+def summarise(df: DataFrame, make: Callable[[], Client], template: str = "{entries}", headings: Sequence[str] = (), placeholder: str | None = None, key: str = "post_raw", ledger: Ledger | None = None, wave: int = WAVE, **limits) -> DataFrame:
+    """df with summary: each distinct post is asked for once, now, and its answer is kept; limits are those
+    of map_distinct().  With a ledger the answers are committed there in waves of so many posts, and posts
+    that it has answered aren't asked for again; without one they are in a table of this session."""
+    asked = lambda posts: summarize.map_distinct(posts, key, lambda: prompted(make(), template, headings, placeholder), **limits)
+    if ledger is None:
+        said = tables.staged(asked(df), "summaries")
+    else:
+        calls = df.select(F.col(key).alias("prompt")).where(F.col("prompt").isNotNull()).distinct()
+        row = (call_id(F.col(key)).alias("call_id"), F.col("summary").alias("response"), F.lit(None).cast("int").alias("key_no"), (F.unix_micros(F.current_timestamp()) / 1e6).alias("asked_at"))
+        ledger.run_waves(calls, lambda own: asked(own.select(F.col("prompt").alias(key))).select(*row), wave)
+        said = ledger.answers(calls).select(F.col("prompt").alias(key), F.col("response").alias("summary"))
     return summarize.join_back(df, said, key)
 
 
-def answered(batches: DataFrame, make: Callable[[], Client], template: str = "{summary}\n{comments}", attempts: int = summarize.ATTEMPTS) -> DataFrame:
-    """batches of label_batches() as ids and response; null where every attempt failed."""
+def label_calls(df: DataFrame, order: list[Column], size: int = 50, key: str = "comment_id", column: str = "comment_raw", template: str = "{summary}\n{comments}") -> DataFrame:
+    """ids, prompt of the calls that label df."""
+    prompt = F.replace(F.replace(F.lit(template), F.lit("{summary}"), F.col("summary")), F.lit("{comments}"), F.col("comments"))
+    return label.label_batches(df, order, size, key, column).select("ids", prompt.alias("prompt"))
+
+
+def answered(calls: DataFrame, make: Callable[[], Client], attempts: int = summarize.ATTEMPTS, clients: int | None = None) -> DataFrame:
+    """ids, response of calls (ids, prompt), asked now and kept for the session; null where every attempt
+    failed.  clients bounds how many workers ask at once."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make()
         for frame in frames:
-            said = []
-            for summary, comments in zip(frame["summary"], frame["comments"], strict=True):
-                prompt = template.replace("{summary}", summary).replace("{comments}", comments)
-                said.append(summarize.retried(lambda: client(prompt), attempts))  # noqa: B023
+            said = [summarize.retried(lambda: client(prompt), attempts) for prompt in frame["prompt"]]  # noqa: B023
             yield pd.DataFrame({"ids": frame["ids"], "response": pd.Series(said, dtype=object)})
 
-    return batches.select("summary", "comments", "ids").mapInPandas(run, "ids array<string>, response string")
+    calls = calls.repartition(clients) if clients else calls
+    return tables.staged(calls.select("ids", "prompt").mapInPandas(run, "ids array<string>, response string"), "answers")
 
 
-def label_all(df: DataFrame, rules: RuleSet, make: Callable[[], Client], order: list[Column], size: int = 50, key: str = "comment_id", column: str = "comment_raw", **options) -> DataFrame:
+def label_all(df: DataFrame, rules: RuleSet, make: Callable[[], Client], order: list[Column], size: int = 50, key: str = "comment_id", column: str = "comment_raw", template: str = "{summary}\n{comments}", attempts: int = summarize.ATTEMPTS, clients: int | None = None, ledger: Ledger | None = None, pace: Pace | None = None) -> DataFrame:
     """df with label: batches of a summary's comments go to a model, its valid answers to ids of the
-    batch count (of several to one id the last), and rules and the correction follow."""
-    said = answered(label.label_batches(df, order, size, key, column), make, **options)
-    answers = F.map_entries(jsontext.label_map(jsontext.json_part(F.col("response"))))
-    pairs = said.select("ids", F.posexplode(answers).alias("at", "x")).where(F.array_contains("ids", F.col("x.key")))
+    batch count (of several to one id the last), and rules and the correction follow.
+
+    Calls are made once, now.  With a ledger a run that was stopped goes on where it stopped; with a pace
+    too, make takes a key's number and every key keeps its quotas (tokens as a quarter of the prompt's
+    characters).  Rows with null ids keep the neutral label, rows with equal ids get the same one."""
+    calls = label_calls(df, order, size, key, column, template)
+    if ledger is None:
+        said = answered(calls, make, attempts, clients)
+    elif pace is None:
+        said = ledger.run(calls, make, attempts=attempts, clients=clients)
+    else:
+        said = ledger.run_paced(calls, make, pace, F.floor(F.length("prompt") / 4))
+    answers = jsontext.label_map(jsontext.json_part(F.col("response")))
+    pairs = said.select("ids", F.posexplode(F.map_entries(answers)).alias("at", "x")).where(F.array_contains("ids", F.col("x.key")))
     model = pairs.groupBy(F.col("x.key").cast(df.schema[key].dataType).alias(key)).agg(F.max_by("x.value", "at").alias("label"))
     return label.label_comments(df, rules, model, key, column)

@@ -6,17 +6,19 @@ labels for a labeller, conversations for posts with replies, pages for page sour
 
 from __future__ import annotations
 
+import itertools
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import dates, jsontext
+from .functions import dates, jsontext, lexicon
 from .functions import text as T
-from .operators import audit, capacity, filters, groups, label, report, summarize
-from .plans import curate, models
+from .operators import audit, capacity, filters, groups, label, places, report, schedule, summarize
+from .plans import curate, ledger, models
 from .rules import EMOTICONS, FIRST_EMOTICONS, FIRST_UI_PHRASES, KEPT_LETTERS, QUOTAS, SAMPLE, UI_PHRASES
-from .sources import html, readers, writers
+from .sources import html, readers, tables, writers
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -103,30 +105,37 @@ SEVEN_CTE = f"""
 # --- text -----------------------------------------------------------------------------------------
 
 
-def _text(name: str, f, sql: str | None) -> None:
+#: What the table's texts lack: each text is put between two copies of it where a query asks for marks.
+MARKS = "<p class='x'>Hi</p> media3.giphy.com/a ( ig some.name_1 )(Instagram no)(instagram x.y) #tag_1#Tàg 🙂🚀✂ :)) =((( <3 :v :V =]] :DD E\u0301a\u0300"
+
+
+def _text(name: str, f, sql: str | None, marks: bool = False) -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return read(spark, d, "documents").select("doc_id", f(F.col("text")).alias("value"))
+        rows = read(spark, d, "documents")
+        rows = rows.withColumn("text", F.concat(F.lit(MARKS), "text", F.lit(MARKS))) if marks else rows
+        return rows.select("doc_id", f(F.col("text")).alias("value"))
 
     QUERIES[name] = run
     if sql:
-        SQL[name] = f"SELECT doc_id, {sql} AS value FROM documents"
+        quoted = MARKS.replace("'", "''")
+        SQL[name] = f"SELECT doc_id, {sql} AS value FROM " + (f"(SELECT doc_id, '{quoted}' || text || '{quoted}' AS text FROM documents)" if marks else "documents")
 
 
 _text("text_lower_ws", lambda c: T.collapse(T.lower(c)), s_collapse("lower(text)"))
 _text("strip_urls", T.strip_urls, s_sub("text", URL, " "))
-_text("strip_giphy", T.strip_giphy, s_sub("text", r"media\d*\.giphy\.com", ""))
-_text("strip_html", T.strip_tags, s_sub("text", "<[^>]+>", " "))
+_text("strip_giphy", T.strip_giphy, s_sub("text", r"media\d*\.giphy\.com", ""), marks=True)
+_text("strip_html", T.strip_tags, s_sub("text", "<[^>]+>", " "), marks=True)
 _text("strip_mentions", T.strip_mentions, s_sub("text", r"@[\p{L}\p{M}\p{N}_.]+", " "))
-_text("strip_instagram", T.strip_instagram, s_sub(s_sub("text", rf"\({S}*ig{S}+[\p{{L}}\p{{M}}\p{{N}}_.]+{S}*\)", ""), rf"\({S}*instagram{S}+[\p{{L}}\p{{M}}\p{{N}}_.]+{S}*\)", ""))
-_text("strip_hashtags", T.strip_hashtags, s_sub("text", rf"#{W}+", " "))
-_text("strip_emoji", T.strip_emoji, s_sub("text", EMOJI, " "))
-_text("strip_emoticons", T.strip_emoticons, s_sub("text", EMOTI, " "))
-_text("strip_first_emoticons", T.strip_first_emoticons, s_chain("text", FIRST_EMOTICONS, "", icase=False))
+_text("strip_instagram", T.strip_instagram, s_sub(s_sub("text", rf"\({S}*ig{S}+[\p{{L}}\p{{M}}\p{{N}}_.]+{S}*\)", ""), rf"\({S}*instagram{S}+[\p{{L}}\p{{M}}\p{{N}}_.]+{S}*\)", ""), marks=True)
+_text("strip_hashtags", T.strip_hashtags, s_sub("text", rf"#{W}+", " "), marks=True)
+_text("strip_emoji", T.strip_emoji, s_sub("text", EMOJI, " "), marks=True)
+_text("strip_emoticons", T.strip_emoticons, s_sub("text", EMOTI, " "), marks=True)
+_text("strip_first_emoticons", T.strip_first_emoticons, s_chain("text", FIRST_EMOTICONS, "", icase=False), marks=True)
 _text("strip_ui", T.strip_phrases, s_chain("text", PHRASES, " "))
 _text("denoise", lambda c: T.collapse(T.strip_phrases(T.strip_hashtags(T.strip_mentions(T.strip_tags(T.strip_urls(c)))))), s_denoise("text"))
 _text("orphan_punct", T.orphan_punct, None)
 _text("minimal_clean", T.minimal_clean, None)
-_text("nfc_lower", lambda c: T.lower(T.nfc(c)), "lower(nfc_normalize(text))")
+_text("nfc_lower", lambda c: T.lower(T.nfc(c)), "lower(nfc_normalize(text))", marks=True)
 _text("strip_punct", T.strip_punct, s_collapse(s_sub("text", KEEP, " ")))
 _text("prompt_safe", T.prompt_safe, s_sub("translate(" + s_sub(s_sub(s_sub(s_sub("text", f"^{S}+|{S}+$", ""), r"https?://\S+", "[URL]"), r"\S+@\S+", "[EMAIL]"), r"\d{3}-?\d{3}-?\d{4}", "[PHONE]") + ", '\"' || chr(10) || chr(13), '''  ')", "[!@#$%^&*()]+", " "))
 _text("lexical_normalize", lambda c: T.lexical(T.lower(c), SAMPLE.lexicon), None)
@@ -145,6 +154,17 @@ _text("masked_slug", lambda c: F.concat_ws("/", T.masked(F.col("source")), T.slu
 _text("fix_breaks", readers.fix_breaks, "replace(replace(text, chr(13), chr(10)), chr(10) || chr(10), chr(10))")
 
 
+#: 4,672 slang words by rule, each of which becomes itself in angle brackets.
+WIDE = tuple((w, f"<{w}>") for n in (2, 3, 4) for w in map("".join, itertools.product("aeinorst", repeat=n)))
+
+
+@query(f"""
+    WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{W}+|[^\\p{{L}}\\p{{M}}\\p{{N}}_]+')) AS w, generate_subscripts(regexp_extract_all(lower(text), '{W}+|[^\\p{{L}}\\p{{M}}\\p{{N}}_]+'), 1) AS i FROM documents)
+    SELECT d.doc_id, coalesce(string_agg(CASE WHEN regexp_full_match(w, '[aeinorst]{{2,4}}') THEN '<' || w || '>' ELSE w END, '' ORDER BY i), '') AS value FROM documents d LEFT JOIN t USING (doc_id) GROUP BY d.doc_id""")
+def lexical_wide(spark, d):
+    return read(spark, d, "documents").select("doc_id", lexicon.rewritten(T.lower(F.col("text")), WIDE).alias("value"))
+
+
 @query(f"SELECT doc_id, {s_words('text')} AS words, {s_tokens('text')} AS tokens, CASE WHEN length(text) = 0 THEN 0 ELSE greatest(1, length(text) // 4) END AS estimate FROM documents")
 def word_counts(spark, d):
     c = F.col("text")
@@ -458,6 +478,35 @@ def model_distribution(spark, d):
     return label.distributions(_compared(spark, d))
 
 
+@query(f"""
+    WITH a AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS index, {_FIXED} AS model1_label FROM documents JOIN labels USING (doc_id)),
+    b AS (SELECT row_number() OVER (ORDER BY doc_id DESC) - 1 AS index, {_OTHER} AS model2_label FROM labels)
+    SELECT index, model1_label, model2_label, model1_label = model2_label AS same FROM a JOIN b USING (index)""")
+def position_compare(spark, d):
+    own = labelled(spark, d)
+    ruled = label.label_comments(own, SAMPLE)
+    return label.compare_by_position(ruled, own, [F.col("comment_id")], [F.col("comment_id").desc()]).select("index", "model1_label", "model2_label", "same")
+
+
+@query(f"""
+    WITH x AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS index, text, {_FIXED} AS model1_label, {_OTHER} AS model2_label FROM documents JOIN labels USING (doc_id))
+    SELECT index, CASE WHEN length(text) > 100 THEN substr(text, 1, 100) || '...' ELSE text END AS comment, model1_label, model2_label FROM x WHERE model1_label <> model2_label ORDER BY index LIMIT 20""")
+def first_differences(spark, d):
+    own = labelled(spark, d)
+    compared = label.compare_by_position(label.label_comments(own, SAMPLE), own, [F.col("comment_id")], [F.col("comment_id")])
+    return label.differences(compared, 20).select("index", F.col("comment_text").alias("comment"), "model1_label", "model2_label")
+
+
+@query("SELECT doc_id AS comment_id, (row_number() OVER (ORDER BY doc_id) - 1) // 50 AS batch FROM documents")
+def global_batches(spark, d):
+    return places.chunks(comments(spark, d), [F.col("comment_id")], 50).select("comment_id", "batch")
+
+
+@query("SELECT doc_id AS comment_id, (coalesce(sum(length(text)) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS chars_before FROM documents")
+def chars_before(spark, d):
+    return places.running(comments(spark, d), [F.col("comment_id")], "post_id", F.length("comment_raw"), "chars_before").select("comment_id", "chars_before")
+
+
 # --- capacity and quotas --------------------------------------------------------------------------
 
 
@@ -471,10 +520,21 @@ def batch_estimate(spark, d):
     SELECT (SELECT count(*) FROM documents) AS total_comments, batches AS estimated_batches, 50 AS adjusted_batch_size, 20 AS total_rpm_capacity, 500000 AS total_tpm_capacity, 500 AS total_rpd_capacity,
            18 AS effective_rpm, round(batches / 18.0::DOUBLE, 9) AS estimated_minutes, round(batches / 18.0::DOUBLE / 60 * 1.1, 9) AS estimated_hours, batches <= 500 AS is_feasible FROM b""")
 def model_capacity(spark, d):
-    out = capacity.capacity(comments(spark, d).withColumnRenamed("post_id", "summary"), "gemini-2.5-flash", 2)
+    out = capacity.capacity(comments(spark, d).withColumnRenamed("post_id", "summary"), "gemini-2.5-flash", 2).drop("capacity_issues", "recommendations")
     return out.withColumns({c: F.round(c, 9) for c in ("estimated_minutes", "estimated_hours")})
 
 
+@query("""
+    WITH s AS (SELECT count(*) AS n FROM documents GROUP BY source), b AS (SELECT CAST(sum(ceil(n / 95.0)) AS BIGINT) AS batches FROM s)
+    SELECT (SELECT count(*) FROM documents) AS total_comments, batches AS estimated_batches, 95 AS adjusted_batch_size, 3 AS total_rpm_capacity, 10000 AS total_tpm_capacity, 15 AS total_rpd_capacity,
+           2 AS effective_rpm, round(batches / 2.0::DOUBLE, 9) AS estimated_minutes, round(batches / 2.0::DOUBLE / 60 * 1.1, 9) AS estimated_hours, false AS is_feasible,
+           'RPD limit: ' || batches || ' > 15' AS capacity_issues, 'Split processing across multiple days' AS recommendations FROM b""")
+def model_capacity_tight(spark, d):
+    """A batch size that the tokens of a minute don't allow is cut down; too few requests a day are said."""
+    out = capacity.capacity(comments(spark, d).withColumnRenamed("post_id", "summary"), "gemini-2.5-flash-preview-tts", 1, 500)
+    return out.withColumns({c: F.round(c, 9) for c in ("estimated_minutes", "estimated_hours")} | {c: F.array_join(c, "; ") for c in ("capacity_issues", "recommendations")})
+
+
 @query(f"""
     WITH s AS (SELECT count(*) AS n FROM documents GROUP BY source), b AS (SELECT CAST(sum(ceil(n / 50.0)) AS BIGINT) AS batches FROM s), m(model, rpm, rpd, tpm) AS (VALUES {", ".join(map(str, QUOTAS))})
     SELECT model, batches, round(greatest(0.1, batches / (rpm * 2)::DOUBLE / 60), 9) AS hours, rpm * 2 >= 10 AND tpm * 2 >= 100000 AND batches <= rpd * 2 AS feasible FROM b, m""")
@@ -501,6 +561,50 @@ def quota_gaps(spark, d):
     return capacity.quota_gaps(_requests(spark, d), 2, gap_s=3600).select("id", "burst", "in_burst")
 
 
+_SLOTS = """
+    c AS (SELECT doc_id, greatest(1, length(text) // 4) AS tokens, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents),
+    k AS (SELECT *, (i % 3)::INT AS key_no, (i // 3) // 100 AS day, (i // 3) % 100 AS j FROM c),
+    s AS (SELECT doc_id, tokens, key_no, day, j, 0::BIGINT AS minute, 1::BIGINT AS calls, tokens AS held FROM k WHERE j = 0
+          UNION ALL
+          SELECT k.doc_id, k.tokens, k.key_no, k.day, k.j, CASE WHEN calls = 5 OR held + k.tokens > 4000 THEN minute + 1 ELSE minute END,
+                 CASE WHEN calls = 5 OR held + k.tokens > 4000 THEN 1 ELSE calls + 1 END, CASE WHEN calls = 5 OR held + k.tokens > 4000 THEN k.tokens ELSE held + k.tokens END
+          FROM s JOIN k ON k.key_no = s.key_no AND k.day = s.day AND k.j = s.j + 1),
+    u AS (SELECT key_no, day, (max(minute) + 1440) // 1440 AS days FROM s GROUP BY key_no, day),
+    f AS (SELECT key_no, day, coalesce(sum(days) OVER (PARTITION BY key_no ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first FROM u),
+    t AS (SELECT doc_id, tokens, key_no, (first * 1440 + minute)::BIGINT AS slot, calls - 1 AS in_slot FROM s JOIN f USING (key_no, day))"""
+
+
+def _scheduled(spark, d):
+    calls = comments(spark, d).withColumn("tokens", F.greatest(F.lit(1), T.token_estimate(F.col("comment_raw"))))
+    return schedule.schedule(calls, 3, schedule.Quota(5, 4000, 100), [F.col("comment_id")], F.col("tokens"))
+
+
+@query(f"WITH RECURSIVE {_SLOTS} SELECT doc_id AS comment_id, key_no, slot, in_slot, tokens > 4000 AS over_tokens FROM t")
+def call_schedule(spark, d):
+    return _scheduled(spark, d).select("comment_id", "key_no", "slot", "in_slot", "over_tokens")
+
+
+@query(f"WITH RECURSIVE {_SLOTS} SELECT key_no, slot, count(*) AS calls, sum(tokens)::BIGINT AS tokens, count(*) <= 5 AND (sum(tokens) <= 4000 OR count(*) = 1) AS within FROM t GROUP BY key_no, slot")
+def call_usage(spark, d):
+    used = schedule.usage(_scheduled(spark, d), F.col("tokens"))
+    return used.withColumn("within", (F.col("calls") <= 5) & ((F.col("tokens") <= 4000) | (F.col("calls") == 1)))
+
+
+@query("""
+    WITH s AS (SELECT doc_id, source, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 50 AS batch FROM documents)
+    SELECT source AS summary, min(doc_id)::VARCHAR AS first_id, count(*)::INT AS comments, 'labels for ' || count(*) AS response FROM s GROUP BY source, batch""")
+def resumed_labels(spark, d):
+    """A run over the calls of some posts, then one over all: it makes the other calls only."""
+    rows = comments(spark, d).withColumn("summary", F.col("post_id"))
+    book = ledger.Ledger(spark, f"{tables.shared_dir(spark)}/ledger-{uuid.uuid4().hex}")
+    client = lambda: lambda prompt: f"labels for {len(json.loads(prompt))}"
+    book.run(models.label_calls(rows.where(F.crc32("post_id") % 3 == 0), [F.col("comment_id")], template="{comments}"), client)
+    said = book.run(models.label_calls(rows, [F.col("comment_id")], template="{comments}"), client)
+    owner = rows.select(F.col("comment_id").cast("string").alias("_id"), "summary")
+    number = F.transform("ids", lambda x: x.cast("long"))
+    return said.withColumn("first_id", F.array_min(number).cast("string")).join(owner, F.col("first_id") == F.col("_id")).select("summary", "first_id", F.size("ids").alias("comments"), "response")
+
+
 # --- audit ----------------------------------------------------------------------------------------
 
 
@@ -546,6 +650,13 @@ def audit_display(spark, d):
     return audit.display(_audited(spark, d), "comment_id")
 
 
+@query("SELECT doc_id AS comment_id, source AS post_id, text AS comment_raw FROM documents WHERE doc_id IN (7, 77, 777, -1)")
+def row_details(spark, d):
+    """Rows looked up by their keys in a table sorted by it: the files that hold them are read."""
+    path = tables.write_sorted(comments(spark, d), f"{tables.shared_dir(spark)}/sorted-{uuid.uuid4().hex}", "comment_id", 100)
+    return tables.lookup(spark, path, "comment_id", [7, 77, 777, -1]).select("comment_id", "post_id", "comment_raw")
+
+
 @query(f"SELECT source AS post_id, comment_id, text AS comment_raw, lang AS platform, CASE WHEN comment_id % 10 = 0 THEN 'EDITED' ELSE label END AS label FROM ({_BASE}) WHERE NOT ((comment_id % 15 = 0) <> (comment_id % 25 = 0))")
 def audit_export(spark, d):
     return audit.export(audit.apply_edits(_audited(spark, d), _edits(spark, d), "comment_id"))
@@ -579,6 +690,20 @@ def url_post_id(spark, d):
     return read(spark, d, "pages").select("page_id", html.post_id(F.col("url"), F.lit("tiktok")).alias("post"))
 
 
+@query(r"""
+    WITH p AS (SELECT page_id, page_id % 5 AS k, CASE page_id % 5 WHEN 0 THEN url || '/groups/permalink/' || page_id || '/' WHEN 1 THEN url || '/video/v' || page_id || '?x=1' WHEN 2 THEN url || '?a=b&v=id' || page_id || '&t=1#c'
+               WHEN 3 THEN url || '/comments/c' || page_id || '/title' ELSE url || '/post/P' || page_id || '?q' END AS link FROM pages)
+    SELECT page_id, CASE k WHEN 0 THEN CAST(page_id AS VARCHAR) WHEN 1 THEN regexp_extract(link, '([^/?#]+)/?(?:[?#].*)?$', 1) WHEN 2 THEN regexp_extract(link, '[?&]v=([^&#]*)', 1)
+           WHEN 3 THEN regexp_extract(link, '/comments/([^/?#]+)', 1) ELSE regexp_extract(link, '/post/([^/?#]+)', 1) END AS post FROM p""")
+def platform_post_ids(spark, d):
+    """All five rules, each on URLs of its kind made from the table's."""
+    n, k = F.col("page_id").cast("string"), F.col("page_id") % 5
+    tails = [F.concat(F.lit("/groups/permalink/"), n, F.lit("/")), F.concat(F.lit("/video/v"), n, F.lit("?x=1")), F.concat(F.lit("?a=b&v=id"), n, F.lit("&t=1#c")), F.concat(F.lit("/comments/c"), n, F.lit("/title")), F.concat(F.lit("/post/P"), n, F.lit("?q"))]
+    pick = lambda own: F.element_at(F.array(*own), (k + 1).cast("int"))
+    platform = pick([F.lit(x) for x in ("facebook", "tiktok", "youtube", "reddit", "threads")])
+    return read(spark, d, "pages").select("page_id", html.post_id(F.concat("url", pick(tails)), platform).alias("post"))
+
+
 @query("""
     WITH t AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations)
     SELECT conv_id, turn, conv_id || '_' || k AS comment_id FROM t""")

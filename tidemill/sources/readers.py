@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import rules
+from ..operators import places
 
 SCRAPED = ("post_id", "post_raw", "comment_id", "author", "created_date", "comment_raw")
 
@@ -18,16 +19,27 @@ def _schema(names: tuple[str, ...]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
-def read_scraped(spark: SparkSession, path: str, strict: bool = True, glob: str = "*") -> DataFrame:
+def field_count(record: Column) -> Column:
+    """Fields of one CSV record: its commas outside quotes, and one."""
+    return F.regexp_count(F.regexp_replace(record, r'"[^"]*+"', ""), F.lit(",")) + 1
+
+
+def read_scraped(spark: SparkSession, path: str | list[str], strict: bool = True, glob: str = "*", fail: bool = False) -> DataFrame:
     """The six columns of scraped CSV files, with the file's name as file_name.
 
-    The time column is created_date under either name.  strict drops rows with fewer than six fields;
-    cells beyond six are ignored.
+    The time column is created_date under either name.  strict drops rows with fewer than six fields, as
+    they were written: an empty last cell is a field.  Cells beyond six are ignored.  The reader hands over
+    the text of records of any other width, whose fields are then counted.  fail raises an error at a file
+    that can't be read as UTF-8 text instead of reading on.
     """
-    names = (*SCRAPED, *(f"_x{i}" for i in range(4)))
-    rows = spark.read.csv(path, schema=_schema(names), header=True, multiLine=True, escape='"', mode="PERMISSIVE", enforceSchema=True, pathGlobFilter=glob)
+    names = StructType([*_schema(SCRAPED).fields, StructField("_record", StringType())])
+    rows = spark.read.csv(path, schema=names, header=True, multiLine=True, escape='"', mode="PERMISSIVE", enforceSchema=True, columnNameOfCorruptRecord="_record", pathGlobFilter=glob)
     rows = rows.withColumn("file_name", F.col("_metadata.file_name"))
-    return (rows.where(F.col("comment_raw").isNotNull()) if strict else rows).select(*SCRAPED, "file_name")
+    if fail:
+        broken = F.exists(F.array(*SCRAPED), lambda c: F.contains(c, F.lit("\ufffd")))
+        rows = rows.where(F.when(broken, F.raise_error(F.concat(F.col("file_name"), F.lit(" is not UTF-8 text"))).cast("boolean")).otherwise(True))
+    wide = F.col(SCRAPED[-1]).isNotNull() | F.col("_record").isNull() | (field_count(F.col("_record")) >= len(SCRAPED))
+    return (rows.where(wide) if strict else rows).select(*SCRAPED, "file_name")
 
 
 def read_stage(spark: SparkSession, path: str, na_values: tuple[str, ...] = rules.NA_VALUES) -> DataFrame:
@@ -76,12 +88,9 @@ def stage_path(root: str, version: str, stage: str, file: str = "") -> str:
 
 
 def with_ordinal(df: DataFrame, *order: str) -> DataFrame:
-    """_ord from a key that sorts rows; straight after a scan of a fixed layout, none is needed."""
-    if not order:
-        return df.withColumn("_ord", F.monotonically_increasing_id())
-    from pyspark.sql import Window
-
-    return df.withColumn("_ord", F.row_number().over(Window.orderBy(*order)) - 1)
+    """_ord from a key that sorts rows; straight after a scan of a fixed layout, none is needed (then the
+    numbers rise with gaps)."""
+    return places.ordinals(df, [F.col(c) for c in order]) if order else df.withColumn("_ord", F.monotonically_increasing_id())
 
 
 def lexicon(path: str) -> tuple[tuple[str, str], ...]:

@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import filters
+
 
 def named(path: str, policy: str = "overwrite", model: str = "", now: datetime | None = None) -> str | None:
     """Where to write: 'overwrite', 'model' (model suffix), 'stamp' (model and time), 'cancel' (None)."""
@@ -31,13 +33,24 @@ def write_removed(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     return path
 
 
+def write_long(df: DataFrame, root: str, max_words: int = 300, column: str = "comment_raw", now: datetime | None = None) -> str | None:
+    """A backup of the rows that filter_long() removes, text, words and reason, in a folder named by the time; None
+    where there is none."""
+    _, gone = filters.filter_long(df, max_words, column)
+    if gone.isEmpty():
+        return None
+    stamp = (now or datetime.now()).strftime("%Y%m%d_%H%M%S")
+    return write_table(gone.select(column, "word_count_temp", "removal_reason"), f"{root.rstrip('/')}/long_comments_removed_{stamp}.parquet")
+
+
 def write_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     df.write.mode(mode).text(path)
     return path
 
 
 def write_progress(df: DataFrame, root: str, seq: int) -> str:
-    """A numbered snapshot; the newest whole one counts, and no input is overwritten."""
+    """A numbered snapshot; the newest whole one counts, and no input is overwritten.  tables.publish() numbers
+    snapshots itself and swaps them in one step."""
     return write_table(df, f"{root.rstrip('/')}/snapshot-{seq:06d}.parquet", "overwrite")
 
 
