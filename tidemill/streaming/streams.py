@@ -27,15 +27,12 @@ def minute_counts(stream: DataFrame, key: str, ts: str = "ts", delay: str = "5 m
     return stream.withWatermark(ts, delay).groupBy(key, F.window(ts, "1 minute").alias("minute")).agg(F.count("*").alias("n"))
 
 
-def quota(stream: DataFrame, per_minute: int, key: str = "key", ts: str = "ts", id_col: str = "id", gap_s: int = 60, forget_s: int = 3600) -> DataFrame:
+def quota(stream: DataFrame, per_minute: int, key: str = "key", ts: str = "ts", id_col: str = "id", gap_s: int = 60) -> DataFrame:
     """Requests with in_burst and admitted, answered at once; a key's count starts anew after gap_s seconds
     without one.  Requests of a micro-batch are taken in order of time; between batches they count as they
-    come, see ordered_quota().  A key that was silent for forget_s seconds of processing is forgotten."""
+    come, and a key's two numbers stay.  ordered_quota() puts requests in order and forgets silent keys."""
 
     def step(own: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         last, n = state.get if state.exists else (None, 0)
         rows = []
         for t, i in sorted((t, i) for f in frames for t, i in zip(f[ts], f[id_col], strict=True)):
@@ -44,11 +41,10 @@ def quota(stream: DataFrame, per_minute: int, key: str = "key", ts: str = "ts",
             last = now
             rows.append((own[0], i, n, n <= per_minute))
         state.update((last, n))
-        state.setTimeoutDuration(forget_s * 1000)
         yield pd.DataFrame(rows, columns=["key", "id", "in_burst", "admitted"])
 
     kinds = {c: stream.schema[c].dataType.simpleString() for c in (key, id_col)}
-    return stream.groupBy(key).applyInPandasWithState(step, f"key {kinds[key]}, id {kinds[id_col]}, in_burst long, admitted boolean", "last double, n long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return stream.groupBy(key).applyInPandasWithState(step, f"key {kinds[key]}, id {kinds[id_col]}, in_burst long, admitted boolean", "last double, n long", "append", GroupStateTimeout.NoTimeout)
 
 
 class _Bursts(StatefulProcessor):
