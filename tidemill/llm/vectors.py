@@ -115,7 +115,7 @@ def compress(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
     rows, held = rows.withColumn("code", F.lit(bytes(parts))), f"{base}/ints"
     for k in range(rounds):
         path = f"{base}/{k}"
-        rows.select("id", "label", "x", "code").mapInArrow(_assigner(books, False), schema).write.partitionBy("kind").parquet(path)
+        rows.select("id", "label", "x", "code").mapInArrow(_assigner(books, False), schema).write.parquet(path)  # unsorted: rows of kind 1 are few
         discard(spark, held)
         made = spark.read.schema(schema).parquet(path)
         width = books.shape[2]
