@@ -153,24 +153,45 @@ def common_prefix(keys: np.ndarray) -> np.ndarray:
 
 def neighbours(rows: DataFrame) -> DataFrame:
     """rows: id, key.  Candidate pairs a, b: neighbours in a sorted order whose common prefix is as deep
-    as their region asks for.  Range partitions, of which no key has more rows than others, are sorted;
-    the first and last row of each meet in a second step, at DEPTH."""
+    as their region asks for.  Range partitions are sorted and read as a stream, of which a worker holds one
+    batch and FEW pairs at most; the first and last row of each meet in a second step, at DEPTH."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column(0).to_numpy(), _numbers(b.column(1))) for b in batches if b.num_rows]
-        if not parts:
-            return
-        ids, keys = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        del parts
-        lcp = common_prefix(keys)
-        region = np.concatenate([[0], np.cumsum(lcp < SHALLOW)])
-        few = np.bincount(region) <= FEW
-        few[[0, -1]] = False  # they may go on in the next partition
-        i = np.flatnonzero(lcp >= np.where(few[region[1:]], SHALLOW, DEPTH))
-        part = TaskContext.get().partitionId()
-        a, b = np.concatenate([ids[i], ids[[0, -1]]]), [*ids[i + 1].tolist(), None, None]
-        ends = [None] * len(i) + [keys[0].tobytes(), keys[-1].tobytes()]
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(ends, pa.binary()), pa.array(np.arange(len(a)) - len(i) + 2 * part, pa.int64())], ["a", "b", "edge", "at"])
+        none = np.zeros(0, np.int64)
+        last, first, size, at_start = None, None, 0, True  # the row before; the first row; rows of the open region; whether it is the first one
+        waiting = (none, none)  # its pairs of less than DEPTH, which count if it stays small
+
+        def told(a: np.ndarray, b: list, edges: list, at: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(edges, pa.binary()), pa.array(at, pa.int64())], ["a", "b", "edge", "at"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, keys = batch.column(0).to_numpy(), _numbers(batch.column(1))
+            first = first or (int(ids[0]), keys[0].tobytes())
+            if last is not None:
+                ids, keys = np.concatenate([last[0], ids]), np.concatenate([last[1], keys])
+            lcp = common_prefix(keys)
+            region = np.concatenate([[0], np.cumsum(lcp < SHALLOW)])
+            sizes = np.bincount(region)
+            sizes[0] += max(0, size - 1)
+            few = sizes <= FEW
+            few[0] &= not at_start
+            open_one = len(sizes) - 1
+            low = np.flatnonzero((lcp >= SHALLOW) & (lcp < DEPTH) & few[region[1:]])
+            closed = low[region[low + 1] < open_one]
+            found = np.concatenate([np.flatnonzero(lcp >= DEPTH), closed])
+            a, b = ids[found], ids[found + 1]
+            if open_one and few[0]:
+                a, b = np.concatenate([a, waiting[0]]), np.concatenate([b, waiting[1]])
+            rest = low[region[low + 1] == open_one]
+            held = waiting if not open_one and few[0] else (none, none)
+            waiting = (np.concatenate([held[0], ids[rest]]), np.concatenate([held[1], ids[rest + 1]]))
+            last, size, at_start = (ids[-1:], keys[-1:]), int(sizes[-1]), at_start and not open_one
+            yield told(a, b.tolist(), [None] * len(a), [None] * len(a))
+        if last is not None:  # the last region may go on in the next partition, as the first one may in the one before
+            part = TaskContext.get().partitionId()
+            yield told(np.array([first[0], int(last[0][0])]), [None, None], [first[1], last[1][0].tobytes()], [2 * part, 2 * part + 1])
 
     ordered = rows.select("id", "key").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
     found = stage(ordered.mapInArrow(run, "a long, b long, edge binary, at long"), "neighbours")
