@@ -61,7 +61,13 @@ def curriculum(docs: DataFrame, source_col: str = "source", text_col: str = "tex
     Null text has size 0; null source is one source, last in order; null ids and repeated rows are
     rows like any other; empty tables stay empty; columns of docs named like the added ones are replaced.
     """
-    docs = docs.drop(*ADDED)
+    kept = [c for c in docs.columns if c not in ADDED]
+    names = {c: f"_c{i}" for i, c in enumerate(kept)}  # columns of any name go through
+    missing = [c for c in (source_col, text_col, id_col) if c not in names]
+    if missing:
+        raise ValueError(f"no columns {missing}")
+    docs = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    source_col, text_col, id_col = names[source_col], names[text_col], names[id_col]
     key = {"_none": F.col(source_col).isNull(), "_src": F.coalesce(F.col(source_col).cast("string"), F.lit("")), "size": word_count(F.col(text_col)), "_h": F.xxhash64(F.col(id_col))}
     rows = docs.withColumns(key).withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)).cast("int"))
     sums = rows.groupBy("_none", "_src", "_b").agg(F.sum("size").alias("_bsize"))
@@ -81,7 +87,7 @@ def curriculum(docs: DataFrame, source_col: str = "source", text_col: str = "tex
         return F.least(F.lit(1.0), (place - 1 + F.when(high > low, (share - low) / (high - low)).otherwise(F.lit(0.0))) / F.lit(phase_count))
 
     placed = placed.withColumn("positions", F.transform(mids, when_reached))
-    return placed.select(*docs.columns, "size", "source_size", "target", "positions")
+    return placed.select(*(F.col(n).alias(c) for c, n in names.items()), "size", "source_size", "target", "positions")
 
 
 def training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
