@@ -218,11 +218,11 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int,
         yield pa.RecordBatch.from_pydict({"place": [place], "path": [path], "docs": [n], "ids": [total]})
 
     shards = stage(rows.mapInArrow(write, "place long, path string, docs long, ids long"), "shards")
-    sizes, before, starts = sorted((r["place"], r["ids"]) for r in shards.select("place", "ids").collect()), 0, []
-    for place, n in sizes:
-        starts += [F.lit(place), F.lit(before).cast("long")]
+    starts, before = [], 0
+    for place, n in sorted((r["place"], r["ids"]) for r in shards.select("place", "ids").collect()):  # one row a shard
+        starts.append((place, before))
         before += n
-    return shards.withColumn("start", F.create_map(*starts)[F.col("place")] if starts else F.lit(0).cast("long"))
+    return shards.join(F.broadcast(docs.sparkSession.createDataFrame(starts, "place long, start long")), "place")
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
