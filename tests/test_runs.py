@@ -45,6 +45,24 @@ def test_places(skewed):
     assert places.sequence(skewed, "g", [F.col("id")]).columns == ["id", "g", "v", "seq"]
 
 
+def test_previous_and_sequences(spark, skewed):
+    frame = skewed.toPandas().sort_values("id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = places.previous(skewed, [F.col("id")], "g", F.col("v")).toPandas().set_index("id").sort_index()
+        rows = skewed.withColumn("ten", F.floor(F.col("id") / 500))
+        both = places.sequences(rows, [F.col("g"), F.col("id")], {"a": ["g"], "seq": ["g", "ten"]})
+        assert both.columns == ["id", "g", "v", "ten", "a", "seq"] and "SinglePartition" not in plans(both)
+        both = both.toPandas().set_index("id").sort_index()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    expected = frame.groupby("g", dropna=False)["v"].shift(1)
+    assert [None if pd.isna(x) else x for x in got["previous"]] == [None if pd.isna(x) else x for x in expected]
+    frame["ten"] = frame["id"] // 500
+    assert both["a"].tolist() == (frame.groupby("g", dropna=False).cumcount() + 1).tolist()
+    assert both["seq"].tolist() == (frame.groupby(["g", "ten"], dropna=False).cumcount() + 1).tolist()
+
+
 def test_hot_groups_spread(spark, skewed):
     """No exchange to one partition, and the hot group's rows come from many blocks."""
     for df in (places.ordinals(skewed, [F.col("id")]), places.chunks(skewed, [F.col("id")], 50, "g"), readers.with_ordinal(skewed, "id"), groups.chunks(skewed, "g", [F.col("id")], 50)):

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
+from . import places
 
 #: Tokens of a comment and of a batch beyond its comments.
 COMMENT_TOKENS, BATCH_TOKENS = 35, 500
@@ -50,15 +51,19 @@ def feasibility(df: DataFrame, keys: int, size: int = 50, group: str | None = "s
 
 
 def quota_windows(requests: DataFrame, per_minute: int, per_day: int, key: str = "key", ts: str = "ts", order: str = "id") -> DataFrame:
-    """Each request with its place in its key's minute and day, and whether both quotas admit it."""
-    at = lambda unit: F.row_number().over(Window.partitionBy(key, F.date_trunc(unit, ts)).orderBy(ts, order))
-    return requests.withColumns({"in_minute": at("minute"), "in_day": at("day")}).withColumn("admitted", (F.col("in_minute") <= per_minute) & (F.col("in_day") <= per_day))
+    """Each request with its place in its key's minute and day, and whether both quotas admit it.  A busy key
+    is spread over tasks."""
+    rows = requests.withColumns({"_minute": F.date_trunc("minute", ts), "_day": F.date_trunc("day", ts)})
+    rows = places.sequences(rows, [F.col(key), F.col(ts), F.col(order)], {"in_minute": [key, "_minute"], "in_day": [key, "_day"]}).drop("_minute", "_day")
+    return rows.withColumn("admitted", (F.col("in_minute") <= per_minute) & (F.col("in_day") <= per_day))
 
 
 def quota_gaps(requests: DataFrame, per_minute: int, key: str = "key", ts: str = "ts", order: str = "id", gap_s: int = 60) -> DataFrame:
     """The other model of a minute: its count starts anew after so many seconds without a request."""
-    w = Window.partitionBy(key).orderBy(ts, order)
+    by = [F.col(ts), F.col(order)]
     seconds = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
-    new = F.coalesce((seconds - F.lag(seconds).over(w) >= gap_s).cast("int"), F.lit(0))
-    rows = requests.withColumn("_new", new).withColumn("burst", F.sum("_new").over(w))
-    return rows.withColumn("in_burst", F.row_number().over(Window.partitionBy(key, "burst").orderBy(ts, order))).drop("_new").withColumn("admitted", F.col("in_burst") <= per_minute)
+    rows = places.previous(requests, by, key, seconds, "_before")
+    rows = rows.withColumn("_new", F.coalesce((seconds - F.col("_before") >= gap_s).cast("int"), F.lit(0)))
+    rows = places.running(rows, by, key, F.col("_new"), "burst").withColumn("burst", F.col("burst") + F.col("_new")).drop("_before", "_new")
+    rows = places.sequences(rows, [F.col(key), *by], {"in_burst": [key, "burst"]})
+    return rows.withColumn("admitted", F.col("in_burst") <= per_minute)

@@ -60,6 +60,32 @@ def running(df: DataFrame, order: list[Column], group: str | list[str] | None =
     return out.select(*(c for c in df.columns if c != name), name)
 
 
+def sequences(df: DataFrame, order: list[Column], groups: dict[str, list[str]]) -> DataFrame:
+    """Adds 1, 2, ... inside each group under each name, with one sort for all.  order must keep the rows of
+    every group together, as (key, time) does for a key's minutes and days."""
+    rows, own = _blocks(df, order), [c for c in df.columns if c not in groups]
+    for name, of in groups.items():
+        pieces = rows.groupBy(F.col(_PART).alias(f"{_PART}2"), *(F.col(g).alias(f"{_G}{k}") for k, g in enumerate(of))).agg(F.count("*").alias(_OWN), F.min(_AT).alias(_FIRST))
+        earlier = Window.partitionBy(*(f"{_G}{k}" for k in range(len(of)))).orderBy(f"{_PART}2").rowsBetween(Window.unboundedPreceding, -1)
+        pieces = pieces.withColumn(_BEFORE, F.coalesce(F.sum(_OWN).over(earlier), F.lit(0)))
+        place = F.col(_BEFORE) + F.col(_AT) - F.col(_FIRST) + 1
+        own.append(name)
+        rows = _joined(rows, pieces, of).withColumn(name, place).select(*own, _PART, _AT)
+    return rows.select(*own)
+
+
+def previous(df: DataFrame, order: list[Column], group: str, value: Column, name: str = "previous") -> DataFrame:
+    """Adds the value of the row before each row in its group; null for the first.  Where a block begins
+    inside a group, the value comes from the group's last row in the block before."""
+    rows = _blocks(df.withColumn(_OWN, value), [F.col(group), *order])
+    inside = Window.partitionBy(_PART, group).orderBy(_AT)
+    rows = rows.withColumns({name: F.lag(_OWN).over(inside), _FIRST: F.min(_AT).over(Window.partitionBy(_PART, group))})
+    pieces = rows.groupBy(F.col(_PART).alias(f"{_PART}2"), F.col(group).alias(f"{_G}0")).agg(F.max_by(_OWN, _AT).alias(_OWN + "2"))
+    pieces = pieces.withColumn(_BEFORE, F.lag(_OWN + "2").over(Window.partitionBy(f"{_G}0").orderBy(f"{_PART}2")))
+    out = _joined(rows, pieces, [group]).withColumn(name, F.when(F.col(_AT) == F.col(_FIRST), F.col(_BEFORE)).otherwise(F.col(name)))
+    return out.select(*(c for c in df.columns if c != name), name)
+
+
 def ordinals(df: DataFrame, order: list[Column], name: str = "_ord") -> DataFrame:
     """Adds each row's place in the order over the whole table, from 0."""
     return running(df, order, name=name)

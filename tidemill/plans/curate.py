@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import filters, groups
 from ..rules import RuleSet
+from ..sources import tables
 
 
 def first_stage(df: DataFrame, rules: RuleSet, order: list[Column], max_words: int | None = 300, cap: int | None = None, priority_cap: int | None = None, post: str = "post_id", key: str = "comment_id", normalise: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -20,6 +21,8 @@ def first_stage(df: DataFrame, rules: RuleSet, order: list[Column], max_words: i
     long = filters.long_flag(F.col("comment_raw"), max_words) if max_words is not None else F.lit(False)
     reason = F.when(long, f"Comment longer than {max_words} words").when(filters.short_flag(F.col("_clean"), rules.keep), T.removal_reason(F.col("_clean")))
     tagged = tagged.withColumn("removal_reason", reason)
+    if cap is not None:  # what is cleaned is looked at several times below
+        tagged = tables.staged(tagged, "cleaned")
     removed = tagged.where("removal_reason is not null").drop("_clean")
     kept = tagged.where("removal_reason is null").withColumn("comment_raw", F.col("_clean")).select(*df.columns)
     if cap is None:

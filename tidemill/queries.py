@@ -102,6 +102,39 @@ SEVEN_CTE = f"""
     seven AS (SELECT n.doc_id, n.source, {s_collapse(s_collapse(s_sub("coalesce(s.x, '')", KEEP, " ")))} AS clean FROM noisy n LEFT JOIN squeezed s USING (doc_id))"""
 
 
+MARK = r"[\^'`~\",.]"
+
+
+def s_runs(x: str) -> str:
+    """A text as runs of word characters, of stray marks, and of anything else."""
+    pattern = rf"{W}+|{MARK}+|[^\p{{L}}\p{{M}}\p{{N}}_\^'`~\",.]+".replace("'", "''")
+    return f"regexp_extract_all({x}, '{pattern}')"
+
+
+def s_orphan(name: str, source: str) -> str:
+    """A table (doc_id, x) of the texts x of source without stray marks.  Of a run of marks, one that touches
+    a word on its left or right stays; the others are one space.  There are no lookarounds here, so runs look at
+    their neighbours."""
+    mark = MARK.replace("'", "''")
+    return f"""
+    {name}_runs AS (SELECT doc_id, unnest({s_runs('x')}) AS r, generate_subscripts({s_runs('x')}, 1) AS i FROM {source}),
+    {name}_next AS (SELECT doc_id, i, r, regexp_matches(r, '^{mark}') AS mark, coalesce(lag(regexp_matches(r, '^{W}')) OVER o, false)::INT AS lw, coalesce(lead(regexp_matches(r, '^{W}')) OVER o, false)::INT AS rw
+        FROM {name}_runs WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    {name}_one AS (SELECT doc_id, string_agg(CASE WHEN NOT mark OR length(r) <= lw + rw THEN r ELSE left(r, lw) || ' ' || right(r, rw) END, '' ORDER BY i) AS x FROM {name}_next GROUP BY doc_id),
+    {name} AS (SELECT s.doc_id, coalesce(o.x, '') AS x FROM {source} s LEFT JOIN {name}_one o USING (doc_id))"""
+
+
+def s_first_clean() -> str:
+    """The first stage's cleaning as tables, the last of which is clean (doc_id, source, lang, raw, text)."""
+    x = s_sub(s_sub(s_sub("text", URL, ""), r"media\d*\.giphy\.com", ""), "<[^>]+>", "")
+    x = s_sub(x, r"@[\p{L}\p{M}\p{N}_.]+", "")
+    for word in ("ig", "instagram"):
+        x = s_sub(x, rf"\({S}*{word}{S}+[\p{{L}}\p{{M}}\p{{N}}_.]+{S}*\)", "")
+    x = s_chain(s_chain(s_sub(x, EMOJI, ""), FIRST_EMOTICONS, "", icase=False), FIRST_PHRASES, "")
+    return f"""noisy AS (SELECT doc_id, {x} AS x FROM documents), {s_orphan('tidy', 'noisy')},
+    clean AS (SELECT d.doc_id, source, lang, d.text AS raw, lower({s_collapse('x')}) AS text FROM documents d JOIN tidy USING (doc_id))"""
+
+
 # --- text -----------------------------------------------------------------------------------------
 
 
@@ -134,11 +167,17 @@ _text("strip_first_emoticons", T.strip_first_emoticons, s_chain("text", FIRST_EM
 _text("strip_ui", T.strip_phrases, s_chain("text", PHRASES, " "))
 _text("denoise", lambda c: T.collapse(T.strip_phrases(T.strip_hashtags(T.strip_mentions(T.strip_tags(T.strip_urls(c)))))), s_denoise("text"))
 _text("orphan_punct", T.orphan_punct, None)
+SQL["orphan_punct"] = f"WITH raw AS (SELECT doc_id, text AS x FROM documents), {s_orphan('tidy', 'raw')} SELECT doc_id, x AS value FROM tidy"
 _text("minimal_clean", T.minimal_clean, None)
+SQL["minimal_clean"] = f"WITH {s_first_clean()} SELECT doc_id, text AS value FROM clean"
 _text("nfc_lower", lambda c: T.lower(T.nfc(c)), "lower(nfc_normalize(text))", marks=True)
 _text("strip_punct", T.strip_punct, s_collapse(s_sub("text", KEEP, " ")))
 _text("prompt_safe", T.prompt_safe, s_sub("translate(" + s_sub(s_sub(s_sub(s_sub("text", f"^{S}+|{S}+$", ""), r"https?://\S+", "[URL]"), r"\S+@\S+", "[EMAIL]"), r"\d{3}-?\d{3}-?\d{4}", "[PHONE]") + ", '\"' || chr(10) || chr(13), '''  ')", "[!@#$%^&*()]+", " "))
 _text("lexical_normalize", lambda c: T.lexical(T.lower(c), SAMPLE.lexicon), None)
+SQL["lexical_normalize"] = f"""
+    WITH t AS (SELECT doc_id, replace(replace(replace(lower(text), 'c++', 'cpp'), ':3', 'cat'), '***', 'star') AS x FROM documents),
+    r AS (SELECT doc_id, unnest({s_runs('x')}) AS r, generate_subscripts({s_runs('x')}, 1) AS i FROM t)
+    SELECT t.doc_id, coalesce(string_agg(CASE r WHEN 'ths' THEN 'this' WHEN 'ou' THEN 'you' WHEN 'nd' THEN 'and' ELSE r END, '' ORDER BY i), '') AS value FROM t LEFT JOIN r USING (doc_id) GROUP BY t.doc_id"""
 _text("truncate_preview", lambda c: T.ellipsis(c, 100), "CASE WHEN length(text) > 100 THEN substr(text, 1, 100) || '...' ELSE text END")
 _text("truncate_fraction", lambda c: T.fraction(c, 0.75), "substr(text, 1, CAST(floor(length(text) * 0.75) AS INT))")
 _text("csv_cell", lambda c: writers.csv_line(F.col("doc_id"), c), "'\"' || doc_id || '\",\"' || replace(text, '\"', '\"\"') || '\"'")
@@ -218,13 +257,23 @@ def short_filter(spark, d):
     return kept.select("comment_id", F.lit(True).alias("kept")).union(gone.select("comment_id", F.lit(False)))
 
 
-@query()
+_FIRST = f"""WITH {s_first_clean()},
+    w AS (SELECT *, {s_words('raw')} AS long, {s_words('text')} AS n, contains(text, '///') OR contains(text, '3/') OR contains(text, 'the') OR contains(text, 'is') AS special FROM clean),
+    t AS (SELECT *, CASE WHEN long > 300 THEN 'Comment longer than 300 words' WHEN n <= 3 AND NOT special
+        THEN CASE n WHEN 0 THEN 'Empty comment after cleaning' WHEN 1 THEN 'Single word comment' WHEN 2 THEN 'Two words comment' ELSE 'Three words comment' END END AS reason,
+        contains(text, 'tion') OR contains(text, 'ing') AS pri FROM w),
+    k AS (SELECT *, row_number() OVER (PARTITION BY source, pri ORDER BY doc_id) AS rk, count(*) OVER (PARTITION BY source) AS m, count(*) FILTER (WHERE pri) OVER (PARTITION BY source) AS p FROM t WHERE reason IS NULL),
+    f AS (SELECT *, m <= 20 OR pri OR rk <= greatest(0, 20 - p) AS within FROM k)"""
+
+
+@query(f"""{_FIRST} SELECT reason AS removal_reason, count(*) AS n FROM (SELECT reason FROM t WHERE reason IS NOT NULL UNION ALL
+    SELECT 'Balanced - exceeded max 20 comments per post' FROM f WHERE NOT within) GROUP BY reason""")
 def removed_union(spark, d):
     kept, gone = curate.first_stage(comments(spark, d), SAMPLE, [F.col("comment_id")], cap=20)
     return gone.groupBy("removal_reason").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"{_FIRST} SELECT doc_id AS comment_id, source AS post_id, text AS comment_raw, lang AS platform FROM f WHERE within")
 def first_stage_kept(spark, d):
     kept, _ = curate.first_stage(comments(spark, d), SAMPLE, [F.col("comment_id")], cap=20)
     return kept
