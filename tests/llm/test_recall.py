@@ -109,3 +109,61 @@ def test_odd_documents(spark):
     assert by[2].n_removed == 80 == by[3].n_removed and by[1].n_copied >= 1 and by[1].n_removed == 0
     assert by[8].n_removed >= 2900 and by[7].n_removed == 0 and by[4].n_passages == by[5].n_passages == by[6].n_passages == 0
     assert passages.passage_report(df.limit(0)).count() == 0
+
+
+def test_neighbours_in_a_stream(spark):
+    """The same candidates whatever the batches hold, and those that a look at all rows at once gives."""
+    from tidemill.llm import neardup
+
+    rng = np.random.default_rng(16)
+    rows = []
+    for _ in range(60):
+        base = rng.integers(0, 3, neardup.LENGTH)
+        for _ in range(int(rng.choice([1, 2, 5, 20, 40]))):
+            own = np.concatenate([[0], base]).astype(neardup._DIGIT)
+            own[1 + int(rng.integers(3, neardup.LENGTH)) :] = rng.integers(0, 4)
+            rows.append((len(rows), own.tobytes()))
+    df = spark.createDataFrame([(i, bytearray(k)) for i, k in rows], "id long, key binary").coalesce(1)
+    keys = sorted((k, i) for i, k in rows)
+    numbers = np.frombuffer(b"".join(k for k, _ in keys), neardup._DIGIT).reshape(len(keys), -1)
+    lcp = neardup.common_prefix(numbers)
+    region = np.concatenate([[0], np.cumsum(lcp < neardup.SHALLOW)])
+    few = np.bincount(region) <= neardup.FEW
+    few[[0, -1]] = False
+    expected = {(keys[i][1], keys[i + 1][1]) for i in np.flatnonzero(lcp >= np.where(few[region[1:]], neardup.SHALLOW, neardup.DEPTH))}
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        for batch in ("1", "7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            assert {(r.a, r.b) for r in neardup.neighbours(df).collect()} == expected
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_curriculum_takes_clashing_names(spark):
+    from tidemill.llm import mixing
+
+    rows = [(i, f"s{i % 3}", "a b c " * (i % 5), f"n{i}", f"m{i}", i, f"p{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, _none string, _src string, _h int, `_b.x` string")
+    got = mixing.curriculum(df)
+    assert got.columns == [*df.columns, *mixing.ADDED]
+    assert sorted(tuple(r)[:7] for r in got.collect()) == sorted(rows)
+    assert mixing.mix(df).columns == df.columns
+
+
+def test_planted_long_repeats(spark):
+    """Of planted passages of 400 bytes or more every copy goes whole, and nothing of texts with shorter ones."""
+    from tidemill.llm import repeats
+
+    rng = np.random.default_rng(17)
+    fresh = lambda n: "".join(rng.choice(list("abcdefghij klmnop"), n))
+    texts, lost = [], []
+    for size in (398, 399, 400, 401, 650, 3000):
+        passage = fresh(size)
+        for k in range(3):  # the characters beside a passage differ from copy to copy
+            texts.append(f"{fresh(200 * k + 1)}{k}{passage}{k}{fresh(333)}")
+            lost.append(size if size >= 400 else 0)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in repeats.cut(repeats.repeated_spans(df)).collect()}
+    assert got == {i: (n, int(n > 0)) for i, n in enumerate(lost)}
