@@ -36,6 +36,71 @@ def test_recall_at_the_threshold(spark):
     assert all(found[kind] >= 36 for kind in kinds), found
 
 
+def test_common():
+    """The longest common subsequence, as the table of all prefixes gives it; no limit to its size."""
+    from tidemill.llm.passages import _common
+
+    rng = np.random.default_rng(21)
+    for _ in range(300):
+        x, y = (rng.integers(0, 5, rng.integers(0, 30)) for _ in "xy")
+        row = [0] * (len(y) + 1)
+        for u in x:
+            old = 0
+            for j, v in enumerate(y, 1):
+                old, row[j] = row[j], old + 1 if u == v else max(row[j], row[j - 1])
+        assert _common(x, y) == row[-1]
+    x = rng.integers(0, 60000, 5000).astype(np.uint16)
+    assert _common(x, np.delete(x, slice(1000, 2500))) == 3500
+
+
+def test_parts_of_a_chain():
+    """A chain that is no passage as a whole gives the passages on both sides of its worst gaps."""
+    from tidemill.llm.passages import K, align
+
+    rng = np.random.default_rng(22)
+    fresh = lambda n: rng.integers(0, 10**9, n)
+    one, mid, two, more = fresh(90), fresh(150), fresh(110), fresh(40)
+    half = mid[np.sort(rng.choice(150, 78, replace=False))]
+    x, y = np.concatenate([one, mid, two]), np.concatenate([one, half[:39], more[:20], half[39:], two])
+    matches = [(i, i) for i in range(0, 86, 5)] + [(240 + i, len(one) + 98 + i) for i in range(0, 106, 5)]
+    got = align(x, y, matches)
+    assert len(got) == 2 and all(len(set(x[a:b]) & set(y[c:d])) >= 0.8 * max(b - a, d - c) for a, b, c, d in got)
+    assert got[0][0] == 0 and got[0][1] >= 90 and got[1][0] <= 240 and got[1][1] == 350
+    assert align(x, x, [(i, i) for i in range(0, len(x) - K, 9)]) == [(0, 350, 0, 350)]
+    assert align(fresh(300), fresh(300), [(10, 10), (200, 200)]) == []
+
+
+def test_hopeful():
+    """Chains that are left out are those for which diagonal() finds nothing at once; others all stay."""
+    import pyarrow as pa
+
+    from tidemill.llm.passages import PERCENT, WORDS, diagonal, hopeful
+
+    rng = np.random.default_rng(23)
+    rows = []
+    for k in range(400):
+        x, y = (rng.integers(0, 250, int(rng.integers(4, 110))).astype(np.uint8) for _ in "xy")
+        i, j = int(rng.integers(0, len(x) - 3)), int(rng.integers(0, len(y) - 3))
+        back, size = min(i, j), min(i, j) + min(len(x) - i, len(y) - j)
+        same = rng.random(size) < rng.choice([0.3, 0.8, 0.95])
+        y[j - back : j - back + size][same] = x[i - back : i - back + size][same]
+        more = 1 + int(k % 7 == 0)
+        rows.append((1, 0, [i + 500] * more, [j + 90] * more, 500, x.tobytes(), 90, y.tobytes()))
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], list("abcdefgh"))
+    got = hopeful(batch.slice(0, 100)).tolist() + hopeful(batch.slice(100)).tolist()
+    found = 0
+    for (_, _, a, b, xs, x, ys, y), stays in zip(rows, got, strict=True):
+        u, v, d = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8), (b[0] - ys) - (a[0] - xs)
+        lo, hi = max(0, -d), min(len(u), len(v) - d)
+        assert stays == (len(a) > 1 or hi - lo >= WORDS and 100 * int((u[lo:hi] == v[lo + d : hi + d]).sum()) >= PERCENT * WORDS)
+        passages = diagonal(u, v, [(a[0] - xs, b[0] - ys)])
+        assert stays or not passages
+        found += bool(passages)
+    assert found > 20
+    assert hopeful(batch.slice(0, 0)).tolist() == []
+
+
 def test_diagonal():
     """The longest stretch that meets the rule, as trying all stretches finds it."""
     from tidemill.llm.passages import PERCENT, WORDS, diagonal
