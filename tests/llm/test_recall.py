@@ -48,9 +48,9 @@ def test_common():
             old = 0
             for j, v in enumerate(y, 1):
                 old, row[j] = row[j], old + 1 if u == v else max(row[j], row[j - 1])
-        assert _common(x, y) == row[-1]
+        assert _common(x.tolist(), y.tolist()) == row[-1]
     x = rng.integers(0, 60000, 5000).astype(np.uint16)
-    assert _common(x, np.delete(x, slice(1000, 2500))) == 3500
+    assert _common(x.tolist(), np.delete(x, slice(1000, 2500)).tolist()) == 3500
 
 
 def test_parts_of_a_chain():
@@ -63,11 +63,11 @@ def test_parts_of_a_chain():
     half = mid[np.sort(rng.choice(150, 78, replace=False))]
     x, y = np.concatenate([one, mid, two]), np.concatenate([one, half[:39], more[:20], half[39:], two])
     matches = [(i, i) for i in range(0, 86, 5)] + [(240 + i, len(one) + 98 + i) for i in range(0, 106, 5)]
-    got = align(x, y, matches)
+    got = align(x.tolist(), y.tolist(), matches)
     assert len(got) == 2 and all(len(set(x[a:b]) & set(y[c:d])) >= 0.8 * max(b - a, d - c) for a, b, c, d in got)
     assert got[0][0] == 0 and got[0][1] >= 90 and got[1][0] <= 240 and got[1][1] == 350
-    assert align(x, x, [(i, i) for i in range(0, len(x) - K, 9)]) == [(0, 350, 0, 350)]
-    assert align(fresh(300), fresh(300), [(10, 10), (200, 200)]) == []
+    assert align(x.tolist(), x.tolist(), [(i, i) for i in range(0, len(x) - K, 9)]) == [(0, 350, 0, 350)]
+    assert align(fresh(300).tolist(), fresh(300).tolist(), [(10, 10), (200, 200)]) == []
 
 
 def test_hopeful():
