@@ -70,6 +70,37 @@ def test_parts_of_a_chain():
     assert align(fresh(300).tolist(), fresh(300).tolist(), [(10, 10), (200, 200)]) == []
 
 
+@pytest.mark.parametrize("batch", [1, 7, 10_000])
+def test_pairs_of_seeds(spark, batch):
+    """Pairs of seeds a passage's reach apart, numbered by document, as trying all pairs finds them; what is
+    carried from batch to batch loses none."""
+    from tidemill.llm import passages
+
+    rng = np.random.default_rng(24)
+    rows = [(int(rng.integers(0, 4)), int(d), int(at), None, None, None, None, bool(rng.random() < 0.8)) for d in range(1, 9) for at in np.sort(rng.choice(300, int(rng.integers(1, 40)), replace=False))]
+    df = spark.createDataFrame(rows, "seed long, doc long, at int, one_doc long, one_at int, last_doc long, last_at int, more boolean")
+    none = spark.createDataFrame([], "doc long, start long, end long, partner long, pstart long, pend long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = sorted((r.doc, r.at, r.at2, r.ask, r.nth) for r in passages._pairs(df, none).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    asked = {r[0] for r in rows if r[7]}
+    rows = [r for r in rows if r[0] in asked]
+    of = collections.defaultdict(list)
+    for a in rows:
+        for b in rows:
+            if a[1] == b[1] and passages.APART[0] <= b[2] - a[2] <= passages.APART[1]:
+                of[a[0], b[0]].append((a[1], a[2], b[2], a[7] or b[7]))
+    want = []
+    for own in of.values():
+        docs = sorted({d for d, *_ in own})
+        if len(docs) > 1 and any(x[3] for x in own):
+            want += [(*x, docs.index(x[0]) + 1) for x in own]
+    assert got == sorted(want) and len(got) > 100
+
+
 def test_hopeful():
     """Chains that are left out are those for which diagonal() finds nothing at once; others all stay."""
     import pyarrow as pa
