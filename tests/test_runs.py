@@ -384,6 +384,25 @@ def test_large_lexicon_is_the_sequential_rewrite(spark):
     assert spark.range(1).select(lexicon.rewritten(F.lit("as it is"), []).alias("x")).first().x == "as it is"
 
 
+def test_a_lexicon_searches_a_text_once_and_the_surroundings_of_replacements():
+    from tidemill.functions import lexicon
+
+    own = lexicon.Rewriter([(f"w{k}", f"<v{k}>") for k in range(1000)] + [("<v5> ", "x"), ("x <", "y")])
+    real, seen = own.automaton, []
+
+    class Counted:
+        def iter(self, text):
+            seen.append(len(text))
+            return real.iter(text)
+
+    own.automaton = Counted()
+    text = " ".join(f"W{k}" for k in range(1000))
+    assert own.rewrite(text) == " ".join(f"<v{k}>" for k in range(1000))
+    assert sum(seen) < 10 * len(text)  # before, the whole text once for each entry in it
+    assert own.rewrite("w5 w6 xw7") == "<v5> <v6> xw7"
+    assert lexicon.Rewriter([("ab", "c d"), ("c", "e"), ("d", "d f")]).rewrite("AB abc ab") == "e d f abc e d f"
+
+
 def test_long_backup(spark, tmp_path):
     import datetime
 
