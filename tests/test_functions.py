@@ -143,3 +143,18 @@ def test_threads_mark_left_alone_is_empty(spark):
 
     df = spark.createDataFrame([("21/04/2025\n:",)], "c string")
     assert df.select(T.thread_clean(df["c"]).alias("c")).first().c == ""
+
+
+def test_chains_of_replacements_run_where_something_matches(spark):
+    df = spark.createDataFrame([("see More MORE :)) [Đã chỉnh sửa] ok",), ("ſee more (ig a.b) :(( x",), ("plain words only",), ("中" * 3000 + "é",), ("molessre é",), (None,)], "t string")
+    c = F.col("t")
+    plan = lambda x: df.select(x.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(T.valid_video_comment(c)).count("{2,}") == 1  # before, cleaned anew for each use
+    assert "RLIKE" in plan(T.nfc(c))  # plain texts stay out of Python
+    assert "RLIKE" in plan(T.strip_phrases(c)) and "RLIKE" in plan(T.strip_first_emoticons(c))
+    one = T.text(c)
+    for p in rules.FIRST_UI_PHRASES:
+        one = T.sub(one, T.quoted(p), "", icase=True)
+    rows = df.select("t", one.alias("a"), T.strip_phrases(c, rules.FIRST_UI_PHRASES, "").alias("b"), T.nfc(c).alias("n"), T.strip_punct(c).alias("p")).collect()
+    assert all(r.a == r.b and r.n == (r.t and unicodedata.normalize("NFC", r.t)) for r in rows)
+    assert [r.p for r in rows if r.t and r.t[0] == "中"] == ["é"]
