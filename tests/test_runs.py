@@ -384,6 +384,17 @@ def test_large_lexicon_is_the_sequential_rewrite(spark):
     assert spark.range(1).select(lexicon.rewritten(F.lit("as it is"), []).alias("x")).first().x == "as it is"
 
 
+def test_quick_waves_grow_and_sized_ones_do_not(spark, tmp_path):
+    from tidemill.plans.ledger import Ledger
+
+    calls = spark.range(440).select(F.concat(F.lit("p"), F.col("id")).alias("prompt"))
+    for wave, n in ((None, 4), (200, 3)):  # 50, 100, 200, 90; before, nine waves of 50
+        book = Ledger(spark, str(tmp_path / f"waves{n}"))
+        said = book.run(calls, lambda: str.upper, wave)
+        assert len(book.waves()) == n
+        assert {(r.prompt, r.response) for r in said.collect()} == {(f"p{i}", f"P{i}") for i in range(440)}
+
+
 def test_a_lexicon_searches_a_text_once_and_the_surroundings_of_replacements():
     from tidemill.functions import lexicon
 

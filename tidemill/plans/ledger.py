@@ -16,8 +16,10 @@ from ..operators.schedule import DAY, Quota, schedule
 from ..operators.summarize import ATTEMPTS, retried
 from ..sources import tables
 
-#: Calls of a wave, whose answers are committed together.
-WAVE = 50
+#: Calls of a wave, whose answers are committed together: of the first one, and of any where no size is given.
+WAVE, MOST = 50, 3200
+#: Seconds: after a wave that took less, the next one has twice as many calls.
+SHORT = 20.0
 SCHEMA = "call_id string, response string, key_no int, asked_at double"
 
 Client = Callable[[str], str]
@@ -78,21 +80,28 @@ class Ledger:
         most = self.rows().where(F.col("asked_at") >= since).groupBy("key_no").count().agg(F.max("count")).first()[0]
         return most or 0
 
-    def run(self, calls: DataFrame, make: Callable[[], Client], wave: int = WAVE, attempts: int = ATTEMPTS, wait: float = 0.0, clients: int | None = None) -> DataFrame:
+    def run(self, calls: DataFrame, make: Callable[[], Client], wave: int | None = None, attempts: int = ATTEMPTS, wait: float = 0.0, clients: int | None = None) -> DataFrame:
         """calls (with a column prompt) with response; null where every attempt failed.
 
         Calls that the ledger has answered aren't made again, equal prompts are asked once, and each wave
-        of so many calls is committed before the next begins; clients bounds how many workers ask at once.
+        of so many calls (see run_waves()) is committed before the next begins; clients bounds how many workers ask at once.
         Failed calls are tried again by the next run.  A task that Spark repeats asks its calls again."""
-        at_once = clients or min(wave, self.spark.sparkContext.defaultParallelism)
+        at_once = clients or min(wave or WAVE, self.spark.sparkContext.defaultParallelism)
         self.run_waves(calls, lambda own: own.repartition(at_once, "call_id").mapInPandas(_asking(make, attempts, wait), SCHEMA), wave)
         return self.answers(calls)
 
-    def run_waves(self, calls: DataFrame, ask: Callable[[DataFrame], DataFrame], wave: int = WAVE) -> None:
-        """Commits ask(call_id, prompt) of pending calls, so many at a time."""
+    def run_waves(self, calls: DataFrame, ask: Callable[[DataFrame], DataFrame], wave: int | None = None) -> None:
+        """Commits ask(call_id, prompt) of pending calls, so many at a time.  Without a size waves begin with WAVE
+        calls and double (to MOST) while they take less than SHORT seconds: quick calls need few commits, and
+        of slow ones a run that is killed still loses little work."""
         todo = tables.staged(places.ordinals(self.pending(calls), [F.col("call_id")], "place"), "calls")
-        for begin in range(0, todo.count(), wave):
-            self.commit(ask(todo.where((F.col("place") >= begin) & (F.col("place") < begin + wave)).drop("place")))
+        total, begin, size = todo.count(), 0, wave or WAVE
+        while begin < total:
+            since = time.monotonic()
+            self.commit(ask(todo.where((F.col("place") >= begin) & (F.col("place") < begin + size)).drop("place")))
+            begin += size
+            if wave is None and time.monotonic() - since < SHORT:
+                size = min(2 * size, MOST)
 
     def run_paced(self, calls: DataFrame, make: Callable[[int], Client], pace: Pace, tokens: Column | None = None, slots: int = 5, passes: int = 100) -> DataFrame:
         """The same with keys: make(key number) builds a client, and every call waits for the slot that

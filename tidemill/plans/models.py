@@ -17,7 +17,7 @@ from ..operators import label, summarize
 from ..operators.throttle import KeyPool
 from ..rules import RuleSet
 from ..sources import tables
-from .ledger import WAVE, Ledger, Pace, call_id
+from .ledger import Ledger, Pace, call_id
 
 Client = Callable[[str], str]
 
@@ -54,9 +54,9 @@ def prompted(client: Client, template: str = "{entries}", headings: Sequence[str
     return call
 
 
-def summarise(df: DataFrame, make: Callable[[], Client], template: str = "{entries}", headings: Sequence[str] = (), placeholder: str | None = None, key: str = "post_raw", ledger: Ledger | None = None, wave: int = WAVE, **limits) -> DataFrame:
+def summarise(df: DataFrame, make: Callable[[], Client], template: str = "{entries}", headings: Sequence[str] = (), placeholder: str | None = None, key: str = "post_raw", ledger: Ledger | None = None, wave: int | None = None, **limits) -> DataFrame:
     """df with summary: each distinct post is asked for once, now, and its answer is kept; limits are those
-    of map_distinct().  With a ledger the answers are committed there in waves of so many posts, and posts
+    of map_distinct().  With a ledger the answers are committed there in waves of so many posts (without a number as in Ledger.run_waves()), and posts
     that it has answered aren't asked for again; without one they are in a table of this session."""
     asked = lambda posts: summarize.map_distinct(posts, key, lambda: prompted(make(), template, headings, placeholder), **limits)
     if ledger is None:
