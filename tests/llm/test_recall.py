@@ -263,3 +263,18 @@ def test_planted_long_repeats(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
     got = {r.doc_id: (r.n_removed, r.n_spans) for r in repeats.cut(repeats.repeated_spans(df)).collect()}
     assert got == {i: (n, int(n > 0)) for i, n in enumerate(lost)}
+
+
+def test_passages_gather_no_table_on_the_driver(spark):
+    """Joins of tables that grow with the input sort both sides, whatever size their files have."""
+    from tidemill.llm import passages
+
+    a = spark.range(1000).withColumnRenamed("id", "doc")
+    found = spark.createDataFrame([(1, 0, 60)], "doc long, start long, end long")
+    rows = a.selectExpr("doc", "10 AS at")
+    words = a.selectExpr("doc", "cast('abcd' AS binary) AS hashes")
+    asks = a.selectExpr("doc", "array(named_struct('chain', doc, 'side', 0, 'start', 0L, 'end', 2L, 'narrow', false)) AS asks")
+    for df in (passages._uncovered(rows, found, ("at",)), passages._parts(words, asks)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert passages._uncovered(rows, found, ("at",)).count() == 999

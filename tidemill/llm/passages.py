@@ -6,7 +6,7 @@ in order through a Fenwick tree, and each chain is aligned word by word on the t
 ends short of a passage, as for chains of one seed, the longest stretch of the chain's diagonal that meets
 the rule is taken.  Places that no passage covers then ask further: pairs of seeds that stand a passage's
 reach apart are joined in the same way, and after the first and the last document that has the pair all
-others are asked, from the latest to the earliest, in rounds of doubling size, as long as a place stays
+others are asked, from the latest to the earliest, in rounds of growing size, as long as a place stays
 uncovered.
 """
 
@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import stage
+from .shared import sieve, stage
 from .words import CHUNK, U, Words, chunks, mix, per_doc
 
 #: Words of a seed, and which share of the k-mers are seeds: one in EVERY, by hash.
@@ -39,6 +39,8 @@ CYCLE = 16
 APART = (36, 64)
 #: Chains whose words are Python objects at a time.
 ROWS = 256
+#: Rounds that ask further documents grow by this factor.
+GROWTH = 4
 
 
 def seeds(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,6 +214,12 @@ def diagonal(x: np.ndarray, y: np.ndarray, matches: list[tuple[int, int]]) -> li
     return [(start + lo, end + lo, start + lo + d, end + lo + d)] if end - start >= WORDS else []
 
 
+def _merged(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join by sorting.  Sizes of staged files say little of their rows in memory (sorted ids compress
+    well), so a join that Spark chose by them could gather far more on the driver than its limit."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _places(rows: DataFrame) -> DataFrame:
     """rows: seed, doc, at.  The places of seeds that several documents have, with one and last (place in
     the first and in the last earlier document) and more (whether yet other places are earlier).
@@ -279,7 +287,7 @@ def _uncovered(rows: DataFrame, found: DataFrame, places: tuple[str, ...]) -> Da
     whole = inside(places[0])
     for c in places[1:]:
         whole = whole & inside(c)
-    return rows.join(spans, "doc", "left").where(~F.coalesce(whole, F.lit(False))).drop("spans")
+    return _merged(rows, spans, "doc", "left").where(~F.coalesce(whole, F.lit(False))).drop("spans")
 
 
 def _pairs(places: DataFrame, found: DataFrame) -> DataFrame:
@@ -288,8 +296,8 @@ def _pairs(places: DataFrame, found: DataFrame) -> DataFrame:
     holders."""
     open_places = stage(_uncovered(places.where("more"), found, ("at",)).select("seed", "doc", "at"), "open")
     seeds_asked = open_places.select("seed").distinct()
-    rows = places.select("seed", "doc", "at").join(seeds_asked, "seed", "left_semi")
-    rows = rows.join(open_places.withColumn("ask", F.lit(True)), ["seed", "doc", "at"], "left").withColumn("ask", F.coalesce("ask", F.lit(False)))
+    rows = _merged(sieve(places.select("seed", "doc", "at"), open_places, "seed"), seeds_asked, "seed", "left_semi")
+    rows = _merged(rows, open_places.withColumn("ask", F.lit(True)), ["seed", "doc", "at"], "left").withColumn("ask", F.coalesce("ask", F.lit(False)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(cols, upto: int) -> pa.RecordBatch:
@@ -317,7 +325,7 @@ def _pairs(places: DataFrame, found: DataFrame) -> DataFrame:
     rows = rows.select("doc", F.col("at").cast("long").alias("at"), "seed", "ask").repartition("doc").sortWithinPartitions("doc", "at")
     pairs = stage(rows.mapInArrow(run, "pair long, doc long, at int, at2 int, ask boolean"), "all_pairs")
     several = pairs.groupBy("pair").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.max("ask").alias("any")).where("low < high and any").select("pair")
-    return pairs.join(several, "pair").withColumn("nth", F.dense_rank().over(Window.partitionBy("pair").orderBy("doc")))
+    return _merged(pairs, several, "pair").withColumn("nth", F.dense_rank().over(Window.partitionBy("pair").orderBy("doc")))
 
 
 def _pair_links(pairs: DataFrame, asking: DataFrame, near: int, far: int, first: bool) -> DataFrame:
@@ -327,21 +335,21 @@ def _pair_links(pairs: DataFrame, asking: DataFrame, near: int, far: int, first:
     to = asking.select("pair", "doc", "at", "at2", "nth", F.explode(F.array_union(back, F.array(F.lit(1))) if first else back).alias("n")).where("n < nth")
     one = F.min(F.struct("at", "at2"))  # as with single seeds, one place in the other document
     other = pairs.groupBy("pair", F.col("nth").alias("n"), F.col("doc").alias("partner")).agg(one.alias("x")).select("pair", "n", "partner", F.col("x.at").alias("pat"), F.col("x.at2").alias("pat2"))
-    both = to.join(other, ["pair", "n"])
+    both = _merged(to, other, ["pair", "n"])
     return both.select("doc", "partner", F.explode(F.array(F.struct("at", "pat"), F.struct(F.col("at2").alias("at"), F.col("pat2").alias("pat")))).alias("m")).select("doc", "m.at", "partner", "m.pat").distinct()
 
 
 def _further(texts: DataFrame, places: DataFrame, found: DataFrame) -> DataFrame:
     """Passages with further documents: those for which places that no passage found covers ask."""
-    pairs = stage(_pairs(places, found), "pairs")
+    pairs = stage(_pairs(places, found), "pairs", tidy=True)
     asking, got, step = pairs.where("ask and nth > 1"), found, 0
     if asking.isEmpty():
         return found
-    texts = stage(texts.join(pairs.select("doc").distinct(), "doc", "left_semi"), "texts")
+    hashes = stage(_hashed(sieve(texts, pairs, "doc")), "hashes", tidy=True)
     new: list[DataFrame] = []
     while not asking.isEmpty():
-        near, far = (2 ** (step - 1) + 1, 2**step) if step else (1, 1)
-        new.append(stage(_passages(texts, _pair_links(pairs, asking, near, far, first=not step)), "further"))
+        near, far = (GROWTH ** (step - 1) + 1, GROWTH**step) if step else (1, 1)
+        new.append(stage(_passages(hashes, _pair_links(pairs, asking, near, far, first=not step), few=True), "further", tidy=True))
         got = got.union(new[-1])
         asking = stage(_uncovered(asking.where(F.col("nth") > far + 2), got, ("at", "at2")), "asking")
         step += 1
@@ -399,8 +407,8 @@ def _hashed(texts: DataFrame) -> DataFrame:
     return texts.select("doc", "text").mapInArrow(run, "doc long, hashes binary")
 
 
-def _parts(texts: DataFrame, asked: DataFrame) -> DataFrame:
-    """asked: doc, asks (array of chain, side, start, end, narrow).  chain, side, start, words (16 bits of
+def _parts(hashes: DataFrame, asked: DataFrame) -> DataFrame:
+    """hashes as _hashed() makes them; asked: doc, asks (array of chain, side, start, end, narrow).  chain, side, start, words (16 bits of
     each word's hash, 8 where narrow)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -426,7 +434,7 @@ def _parts(texts: DataFrame, asked: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([chain.take(pa.array(k)), side.take(pa.array(k)), pa.array(start[k]), cells], ["chain", "side", "start", "words"])
                     i = j
 
-    return _hashed(texts).join(asked, "doc").select("hashes", "asks").mapInArrow(run, "chain long, side int, start long, words binary")
+    return _merged(hashes, asked, "doc").select("hashes", "asks").mapInArrow(run, "chain long, side int, start long, words binary")
 
 
 def hopeful(batch: pa.RecordBatch) -> np.ndarray:
@@ -479,15 +487,19 @@ def _aligned(sides: DataFrame) -> DataFrame:
     return wanted.mapInArrow(run, "doc long, start long, end long, partner long, pstart long, pend long")
 
 
-def _passages(texts: DataFrame, links: DataFrame, tidy: bool = False, single: bool = False) -> DataFrame:
-    """doc, start, end, partner, pstart, pend of the passages along chains of links."""
+def _passages(hashes: DataFrame, links: DataFrame, tidy: bool = False, single: bool = False, few: bool = False) -> DataFrame:
+    """doc, start, end, partner, pstart, pend of the passages along chains of links; few where the links
+    concern few of the documents, so that the others' words need not move."""
     found = stage(_chains(links, single).withColumn("chain", F.xxhash64("doc", "partner", "a", "b")), "chains", tidy)
     reach = F.when(F.size("a") == 1, WORDS).otherwise(REACH)
     ask = lambda side, doc, places: found.select(F.col(doc).alias("doc"), F.struct("chain", F.lit(side).alias("side"), (F.element_at(places, 1) - reach).cast("long").alias("start"), (F.element_at(places, -1) + K + reach).cast("long").alias("end"), (F.size("a") == 1).alias("narrow")).alias("ask"))
     asked = ask(0, "doc", "a").union(ask(1, "partner", "b")).groupBy("doc").agg(F.collect_set("ask").alias("asks"))
-    parts = _parts(texts, asked)
+    if few:
+        asked = stage(asked, "asked")
+        hashes = sieve(hashes, asked, "doc")
+    parts = _parts(hashes, asked)
     sides = parts.groupBy("chain").agg(F.max(F.when(F.col("side") == 0, F.struct("start", "words"))).alias("x"), F.max(F.when(F.col("side") == 1, F.struct("start", "words"))).alias("y"))
-    return _aligned(found.join(sides, "chain").where("x is not null and y is not null"))
+    return _aligned(_merged(found, sides, "chain").where("x is not null and y is not null"))
 
 
 def fuzzy_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -508,7 +520,7 @@ def fuzzy_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(part.column(0).to_numpy()[doc]), pa.array(at.astype(np.int32))], ["seed", "doc", "at"])
 
     places = stage(_places(texts.mapInArrow(run, "seed long, doc long, at int")), "places", tidy=True)
-    found = stage(_passages(texts, _links(places), tidy=True, single=True), "found", tidy=True)
+    found = stage(_passages(_hashed(texts), _links(places), tidy=True, single=True), "found", tidy=True)
     found = _further(texts, places, found)
     to = F.max("end").over(Window.partitionBy("doc", "partner").orderBy("start", F.desc("end"), "pstart", "pend").rowsBetween(Window.unboundedPreceding, -1))
     return found.withColumn("to", to).where("to is null or end > to").drop("to")
@@ -524,7 +536,8 @@ def passage_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = found.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", "end", "partner"))).alias("spans"))
     copied = found.groupBy(F.col("partner").alias("doc")).agg(F.count("*").alias("n_copied"))
     rows = docs.select(F.col(id_col), word_count(F.col(text_col)).alias("n_words"))
-    rows = rows.join(own, F.col(id_col).cast("long") == F.col("doc"), "left").drop("doc").join(copied, F.col(id_col).cast("long") == F.col("doc"), "left").drop("doc")
+    for side in (own, copied):
+        rows = _merged(rows, side, F.col(id_col).cast("long") == F.col("doc"), "left").drop("doc")
     none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to"))
     covered = F.aggregate("spans", none, lambda s, x: F.struct((s.n + F.greatest(F.lit(0).cast("long"), x.end - F.greatest(s.to, x.start))).alias("n"), F.greatest(s.to, x.end).alias("to")), lambda s: s.n)
     return rows.select(id_col, "n_words", F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_passages"), F.coalesce(covered, F.lit(0)).cast("long").alias("n_removed"), F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"), "spans")
