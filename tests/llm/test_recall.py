@@ -278,3 +278,34 @@ def test_passages_gather_no_table_on_the_driver(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
     assert passages._uncovered(rows, found, ("at",)).count() == 999
+
+
+def test_url_trees_learn_from_every_label(spark):
+    """The fit over a table counts every labelled URL, gives what the fit in memory gives, whatever the partitions."""
+    from pyspark.sql import functions as F
+
+    from tidemill.llm import urls
+
+    assert not hasattr(urls, "FIT_ROWS")
+    n = 30_000
+    url = F.concat(F.lit("http://a"), F.col("id").cast("string"), F.when(F.col("id") % 3 == 0, F.lit(".net/es/x")).otherwise(F.lit(".com/en/yyyyy")), F.repeat(F.lit("-7"), (F.col("id") % 11).cast("int")))
+    pages = spark.range(n).select(F.col("id").alias("page_id"), url.alias("url"))
+    seen = []
+    fit, urls.fit_table = urls.fit_table, lambda rows, edges, counts: seen.append((rows, edges, counts)) or fit(rows, edges, counts, trees=2)
+    try:
+        assert urls.url_verdicts(pages).count() == n
+    finally:
+        urls.fit_table = fit
+    rows, edges, counts = seen[0]
+    assert counts.sum() == n and counts[:, 1].sum() == n // 3 and rows.agg(F.sum("n")).first()[0] == n
+    (one, scored), (other, _) = fit(rows, edges, counts, trees=4), fit(rows.repartition(7), edges, counts, trees=4)
+    assert one == other
+    got = rows.toPandas()
+    cells = got[[f"b{j}" for j in range(len(edges))]].to_numpy().repeat(got["n"], 0).astype(float)
+    y = got["y"].to_numpy().repeat(got["n"]).astype(float)
+    local = urls.fit_trees(cells, y, np.where(y > 0, 0.5 * n / y.sum(), 0.5 * n / (n - y.sum())), trees=4)
+    apart = np.abs(urls.block_chance(local, cells) - urls.block_chance(one[-1], cells))
+    assert np.median(apart) < 1e-4 and apart.mean() < 0.02  # quantiles of bins leave out bins of few rows
+    own = scored.toPandas()
+    for m, model in enumerate(one):
+        assert np.allclose(1 / (1 + np.exp(-own[f"s{m}"])), urls.block_chance(model, own[[f"b{j}" for j in range(len(edges))]].to_numpy()))
