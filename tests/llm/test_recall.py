@@ -309,3 +309,59 @@ def test_url_trees_learn_from_every_label(spark):
     own = scored.toPandas()
     for m, model in enumerate(one):
         assert np.allclose(1 / (1 + np.exp(-own[f"s{m}"])), urls.block_chance(model, own[[f"b{j}" for j in range(len(edges))]].to_numpy()))
+
+
+@pytest.mark.parametrize("cell", [4, 1 << 14])
+def test_every_holder_of_a_seed_is_asked(spark, monkeypatch, cell):
+    """A passage with one common seed is found in a document that is neither the first nor the last one with the
+    seed, however many there are and however they are dealt."""
+    from tidemill.llm import passages
+    from tidemill.llm.words import Words
+
+    monkeypatch.setattr(passages, "CELL", cell)
+    rng = np.random.default_rng(5)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    own = lambda w: {h: i for i, h in zip(*passages.seeds(Words([" ".join(w).encode()], lower=True))[1:], strict=True)}
+    while True:  # four words of five stay, and only one of the k-mers that do is a seed
+        a = word(60)
+        b = [w if i % 5 < 4 else f"x{i}" for i, w in enumerate(a)]
+        common = own(a).keys() & own(b).keys()
+        if len(common) == 1 and 10 <= own(a)[min(common)] <= 45:
+            break
+    at = own(a)[min(common)]
+    rows = [(2 * i, word(60) + a[at : at + 4] + word(60)) for i in range(1, 13)] + [(9, word(30) + a + word(30)), (101, word(20) + b + word(20)), (102, word(60) + a[at : at + 4] + word(60))]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = [(r.doc, r.partner, r.start, r.end) for r in passages.fuzzy_passages(df).collect()]
+    assert [r[:2] for r in got] == [(101, 9)] and got[0][2] <= 20 + at and got[0][3] - got[0][2] >= passages.WORDS
+
+
+def test_rows_that_meet():
+    """Every asking row meets every row of its cell with an earlier document, in small cells and large ones."""
+    from tidemill.llm.passages import _met
+
+    rng = np.random.default_rng(9)
+    cell = np.repeat(np.arange(6), [1, 5, 700, 2, 300, 40])
+    doc = np.concatenate([np.sort(rng.integers(0, max(1, n // 2), n)) for n in np.bincount(cell)])
+    asks, odd = rng.random(len(cell)) < 0.6, rng.random(len(cell)) < 0.5
+    new = np.concatenate([[True], cell[1:] != cell[:-1]])
+    upto = np.maximum.accumulate(np.where(new | np.concatenate([[True], doc[1:] != doc[:-1]]), np.arange(len(cell)), 0))
+    met = [np.stack(x, axis=1) for x in _met(new, upto, asks, lambda i, j: odd[i] | odd[j])]
+    want = [(i, j) for i in range(len(cell)) for j in range(len(cell)) if cell[i] == cell[j] and doc[j] < doc[i] and asks[i] and (odd[i] or odd[j])]
+    assert sorted(map(tuple, np.concatenate(met).tolist())) == sorted(want)
+
+
+def test_contexts_that_go_on_alike(spark):
+    """Places whose words go on from the same place before are told alike, and only those."""
+    from tidemill.llm import passages
+
+    words = [f"w{i}" for i in range(200)]
+    texts = [words, ["x"] * 7 + words[:150], words[:12] + ["y"] + words[13:]]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc long, text string")
+    places = [(1, 10), (2, 30), (3, 40), (4, 120)]
+    rows = [(k, d, p + (7 if d == 1 else 0), p + (7 if d == 1 else 0), d != 1) for d in range(3) for k, p in places]
+    got = {(r.key, r.doc): r for r in passages._contexts(passages._hashed(df), spark.createDataFrame(rows, "key long, doc long, at int, at2 int, ask boolean")).collect()}
+    own = lambda k, d: got[k, d].own
+    assert own(1, 0) == own(4, 0) == 0 and own(2, 0) == own(2, 1) != 0 and own(2, 0) != own(2, 2) and own(3, 0) == own(3, 1) == own(3, 2)
+    assert got[2, 0].skip == own(2, 0) and got[2, 1].skip == 0 and got[1, 0].leads and not got[3, 0].leads and not got[1, 1].leads
+    r = got[1, 0]
+    assert (r.left, r.right) == (10, passages.SIDE) and len(r.words) == 2 * passages.SIDE + passages.K and bytes(r.words[:40]) == bytes(40) and r.words[40] > 0

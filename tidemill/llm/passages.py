@@ -4,10 +4,9 @@ Seeds are the word k-mers whose hash is a multiple of EVERY, at every place.  A
 first earlier document that has its seed and to the last one; the matches of two documents are chained
 in order through a Fenwick tree, and each chain is aligned word by word on the two texts.  Where that
 ends short of a passage, as for chains of one seed, the longest stretch of the chain's diagonal that meets
-the rule is taken.  Places that no passage covers then ask further: pairs of seeds that stand a passage's
-reach apart are joined in the same way, and after the first and the last document that has the pair all
-others are asked, from the latest to the earliest, in rounds of growing size, as long as a place stays
-uncovered.
+the rule is taken.  Places that no passage covers then ask every earlier holder of their seed, and after that every
+earlier holder of a pair of seeds that stand a passage's reach apart: the words around both places are
+compared in cells of bounded size, and only holders that can make a passage become links.
 """
 
 from __future__ import annotations
@@ -39,8 +38,15 @@ CYCLE = 16
 APART = (36, 64)
 #: Chains whose words are Python objects at a time.
 ROWS = 256
-#: Rounds that ask further documents grow by this factor.
-GROWTH = 4
+#: Words around a place that are compared with every holder: as many as diagonal() sees of a chain of one seed.
+SIDE = WORDS
+#: Of these, so many agree on a seed's diagonal; of some WORDS in a row around the seed, so many agree within a
+#: shift of so many words (for seeds, for pairs).  A passage of 51 to 99 words may have no better WORDS in a row than 35.
+ALONG, NEAR, SHIFTS = 16, 35, (3, 10)
+#: Rows of one key that meet in one task, about; more are dealt into cells by ranges of documents.
+CELL = 1 << 14
+#: Pairs of places whose words are compared at a time.
+PAIRS = 1 << 13
 
 
 def seeds(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -290,14 +296,20 @@ def _uncovered(rows: DataFrame, found: DataFrame, places: tuple[str, ...]) -> Da
     return _merged(rows, spans, "doc", "left").where(~F.coalesce(whole, F.lit(False))).drop("spans")
 
 
+def _holders(places: DataFrame, found: DataFrame) -> DataFrame:
+    """seed, doc, at, ask: all places of the seeds that a place asks for which no passage found covers and which
+    has further holders; ask marks such places."""
+    open_places = stage(_uncovered(places.where("more"), found, ("at",)).select("seed", "doc", "at"), "open")
+    seeds_asked = open_places.select("seed").distinct()
+    rows = _merged(sieve(places.select("seed", "doc", "at"), open_places, "seed"), seeds_asked, "seed", "left_semi")
+    return _merged(rows, open_places.withColumn("ask", F.lit(True)), ["seed", "doc", "at"], "left").withColumn("ask", F.coalesce("ask", F.lit(False)))
+
+
 def _pairs(places: DataFrame, found: DataFrame) -> DataFrame:
     """pair, doc, at, at2, ask, nth: pairs of seeds that several documents have, with the number of the
     document among them; ask marks those with a place that no passage found covers and that has further
     holders."""
-    open_places = stage(_uncovered(places.where("more"), found, ("at",)).select("seed", "doc", "at"), "open")
-    seeds_asked = open_places.select("seed").distinct()
-    rows = _merged(sieve(places.select("seed", "doc", "at"), open_places, "seed"), seeds_asked, "seed", "left_semi")
-    rows = _merged(rows, open_places.withColumn("ask", F.lit(True)), ["seed", "doc", "at"], "left").withColumn("ask", F.coalesce("ask", F.lit(False)))
+    rows = _holders(places, found)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(cols, upto: int) -> pa.RecordBatch:
@@ -328,34 +340,192 @@ def _pairs(places: DataFrame, found: DataFrame) -> DataFrame:
     return _merged(pairs, several, "pair").withColumn("nth", F.dense_rank().over(Window.partitionBy("pair").orderBy("doc")))
 
 
-def _pair_links(pairs: DataFrame, asking: DataFrame, near: int, far: int, first: bool) -> DataFrame:
-    """doc, at, partner, pat: the seeds of asking pairs with those of the documents near to far numbers
-    before, and with those of the first document."""
-    back = F.when(F.col("nth") > near, F.sequence(F.greatest(F.lit(1), F.col("nth") - far), F.col("nth") - near)).otherwise(F.array().cast("array<int>"))
-    to = asking.select("pair", "doc", "at", "at2", "nth", F.explode(F.array_union(back, F.array(F.lit(1))) if first else back).alias("n")).where("n < nth")
-    one = F.min(F.struct("at", "at2"))  # as with single seeds, one place in the other document
-    other = pairs.groupBy("pair", F.col("nth").alias("n"), F.col("doc").alias("partner")).agg(one.alias("x")).select("pair", "n", "partner", F.col("x.at").alias("pat"), F.col("x.at2").alias("pat2"))
-    both = _merged(to, other, ["pair", "n"])
-    return both.select("doc", "partner", F.explode(F.array(F.struct("at", "pat"), F.struct(F.col("at2").alias("at"), F.col("pat2").alias("pat")))).alias("m")).select("doc", "m.at", "partner", "m.pat").distinct()
+def _narrow(words: np.ndarray) -> np.ndarray:
+    """8 bits of words' hashes, without 0 and 255, which stand for what is beyond a text's ends."""
+    return np.clip(words.astype(np.uint8), 1, 254)
+
+
+def _contexts(hashes: DataFrame, rows: DataFrame) -> DataFrame:
+    """rows: key, doc, at, at2, ask.  Adds words (a byte for each of the SIDE words before a place, its K words and the
+    SIDE words after it; 0 beyond the text's ends), left and right (how many of these there are), own, skip and leads.
+
+    own tells the key of the place before in the text (for pairs, of that with its second seed as far away) and all
+    words since, where that is within SIDE words; skip is the same where that place asks, and leads marks such places.
+    Where skip and own are equal, both texts go on alike from the place before, whose comparison holds for this one too."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span = np.arange(2 * SIDE + K)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            data, start, size = _bytes(b.column(1))
+            hashes = data.view(np.uint16)
+            counts = pc.list_value_length(b.column(2)).to_numpy()
+            apart, at, key, at2, ask = (c.to_numpy(zero_copy_only=False) for c in b.column(2).flatten().flatten())
+            row = np.repeat(np.arange(b.num_rows), counts)
+            for i in range(0, len(at), CHUNK // len(span)):
+                end = min(len(at), i + CHUNK // len(span))
+                k = np.arange(max(i - 1, 0), min(len(at), end + 1))  # with the rows before and after
+                place = at[k, None].astype(np.int64) - SIDE + span
+                there = (place >= 0) & (place < size[row[k], None] // 2)
+                words = np.where(there, _narrow(hashes[np.where(there, start[row[k], None] // 2 + place, 0)]), np.uint8(0))
+                gap = np.where((row[k[1:]] == row[k[:-1]]) & (apart[k[1:]] == apart[k[:-1]]), at[k[1:]] - at[k[:-1]], 0)
+                since = mix(key[k[:-1]].view(U))
+                for n in range(SIDE, 0, -1):
+                    since = np.where(gap >= n, (since + words[1:, SIDE - n]) * U(0xD6E8FEB86659FD93) + U(1), since)
+                own = np.concatenate([np.zeros(1, U), np.where((gap > 0) & (gap <= SIDE), mix(since) | U(1), U(0))])
+                skip = np.where(np.concatenate([[False], ask[k[:-1]]]), own, U(0))
+                leads = np.concatenate([skip[1:] != 0, [False]])
+                new = slice(i - k[0], end - k[0])
+                cells = pa.Array.from_buffers(pa.binary(), end - i, [None, pa.py_buffer((np.arange(end - i + 1) * len(span)).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(words[new]))])
+                left, right = (x.sum(axis=1).astype(np.int32) for x in (there[:, :SIDE], there[:, SIDE + K :]))
+                more = (pa.array(c[new]) for c in (left, right, own.view(np.int64), skip.view(np.int64), leads))
+                yield pa.RecordBatch.from_arrays([pa.array(key[i:end]), b.column(0).take(pa.array(row[i:end])), *(pa.array(c[i:end]) for c in (at, at2, ask)), *more, cells], ["key", "doc", "at", "at2", "ask", "left", "right", "own", "skip", "leads", "words"])
+
+    asks = rows.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct((F.col("at2") - F.col("at")).alias("apart"), "at", "key", "at2", "ask"))).alias("asks"))
+    schema = "key long, doc long, at int, at2 int, ask boolean, left int, right int, own long, skip long, leads boolean, words binary"
+    return _merged(hashes, asks, "doc").select("doc", "hashes", "asks").mapInArrow(run, schema)
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """rows (key, doc, ask and more) with cell, asks and holds.  The documents of a key are cut into ranges, one for each
+    CELL rows; every two ranges are a cell, in which the asking rows of the later one meet all rows of the earlier one."""
+    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / CELL).cast("int").alias("_n"), F.min("doc").alias("_low"), F.max("doc").alias("_high")).where("_low < _high")
+    dealt = _merged(rows, sizes, "key").withColumn("_own", F.least(F.col("_n") - 1, F.floor((F.col("doc") - F.col("_low")) / (F.col("_high") - F.col("_low") + 1.0) * F.col("_n")).cast("int")))
+    cell = lambda late, early: (late * F.col("_n") + early).alias("cell")
+    held = F.transform(F.sequence("_own", F.col("_n") - 1), lambda i: F.struct(cell(i, F.col("_own")), (F.col("ask") & (i == F.col("_own"))).alias("asks"), F.lit(True).alias("holds")))
+    asked = F.transform(F.sequence(F.lit(0), F.col("_own") - 1), lambda j: F.struct(cell(F.col("_own"), j), F.lit(True).alias("asks"), F.lit(False).alias("holds")))
+    alone = F.array(F.struct(F.lit(0).alias("cell"), F.col("ask").alias("asks"), F.lit(True).alias("holds")))
+    several = F.when(F.col("ask") & (F.col("_own") > 0), F.concat(held, asked)).otherwise(held)
+    return dealt.select(*rows.columns, F.inline(F.when(F.col("_n") == 1, alone).otherwise(several))).drop("ask")
+
+
+def _promising(x: np.ndarray, y: np.ndarray, shift: int) -> np.ndarray:
+    """Which rows of two tables of words may hold a passage: WORDS in a row around the seed, NEAR of which stand in y
+    too, shift words away at most."""
+    wide = np.zeros((len(y), y.shape[1] + 2 * shift), np.uint8)
+    wide[:, shift : shift + y.shape[1]] = y
+    same = x == y
+    for d in range(2 * shift + 1):
+        same |= x == wide[:, d : d + x.shape[1]]
+    total = np.zeros((len(x), x.shape[1] + 1), np.uint8)
+    np.cumsum(same, axis=1, out=total[:, 1:], dtype=np.uint8)
+    first = SIDE + K - WORDS  # the stretches that hold the seed
+    return (total[:, first + WORDS : SIDE + WORDS + 1] - total[:, first : SIDE + 1]).max(axis=1) >= NEAR
+
+
+def _met(new: np.ndarray, upto: np.ndarray, asks: np.ndarray, fit) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of asking rows and of the earlier rows of their cells (new marks a cell's first row, upto is the
+    first row of a row's document) for which fit holds, at most PAIRS at a time."""
+    n = np.arange(len(new))
+    group = np.maximum.accumulate(np.where(new, n, 0))
+    a = np.flatnonzero(asks & (upto > group))
+    size = upto[a] - group[a]
+    few, many = a[size < 256], a[size >= 256]
+    ends = np.cumsum(size[size < 256])
+    for lo in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):
+        one = np.arange(lo, min(lo + PAIRS, int(ends[-1])))
+        k = np.searchsorted(ends, one, "right")
+        i, j = few[k], upto[few[k]] - (ends[k] - one)
+        own = fit(i, j)
+        yield i[own], j[own]
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(group[many])) + 1, [len(many)]]) if len(many) else [0]
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):  # the asking rows of one cell
+        first, step = group[many[lo]], max(1, 8 * PAIRS // int(upto[many[hi - 1]] - group[many[lo]]))
+        for k in range(lo, hi, step):
+            own = many[k : min(hi, k + step), None]
+            other = np.arange(first, upto[own[-1, 0]])[None, :]
+            x, y = np.nonzero(fit(own, other) & (other < upto[own]))
+            for q in range(0, len(x), PAIRS):
+                yield own[x[q : q + PAIRS], 0], y[q : q + PAIRS] + first
+
+
+def _asked(hashes: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFrame:
+    """doc, at, at2, partner, pat, pat2, sure: links of asking rows (key, doc, at, at2, ask) with earlier documents that
+    have the key and may make a passage around the place.  A place that does not lead gets one sure link in a cell, with the
+    earliest document whose words make a passage over it as they are; where there is none, and for pairs, it gets all
+    that may."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(cols) -> pa.RecordBatch:
+            key, cell, doc, at, at2, left, right, own, skip, leads, asks, holds, words = cols
+            left, right = left.astype(np.uint8), right.astype(np.uint8)
+            new = np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])])
+            upto = np.maximum.accumulate(np.where(new | np.concatenate([[True], doc[1:] != doc[:-1]]), np.arange(len(key)), 0))  # holders are earlier documents
+            mine = np.where(words == 0, np.uint8(255), words)  # what is beyond a text's ends is equal to nothing
+
+            def fit(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+                out = holds[j] & ((skip[i] == 0) | (skip[i] != own[j]))
+                return out if pairs else out & (np.minimum(left[i], left[j]) + np.minimum(right[i], right[j]) + K >= NEAR)
+
+            out: list[np.ndarray] = [np.zeros((3, 0), np.int64)]
+            for i, j in _met(new, upto, asks, fit):
+                same = (np.take(mine, i, axis=0) == np.take(words, j, axis=0)).view(U)
+                total = (np.einsum("ij->i", same) * U(0x0101010101010101)) >> U(56)  # equal words, eight a lane
+                if not pairs:
+                    i, j, total = (c[total >= ALONG] for c in (i, j, total))
+                likely = _promising(mine[i], words[j], SHIFTS[pairs])
+                out.append(np.stack([i[likely], j[likely], total[likely].astype(np.int64)]))
+            i, j, total = np.concatenate(out, axis=1)
+            order = np.lexsort((j, i))
+            i, j, total = i[order], j[order], total[order]
+            best = np.full(len(key), -1)
+            for k in np.flatnonzero((100 * total >= PERCENT * WORDS) & ~leads[i]).tolist() if not pairs else ():
+                if best[i[k]] < 0 and any(s <= SIDE and SIDE + K <= e for s, e, _, _ in diagonal(mine[i[k]], words[j[k]], [(SIDE, SIDE)])):
+                    best[i[k]] = j[k]
+            keep = (best[i] < 0) | (best[i] == j)
+            i, j = i[keep], j[keep]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[i], at[i], at2[i], doc[j], at[j], at2[j], best[i] >= 0)], ["doc", "at", "at2", "partner", "pat", "pat2", "sure"])
+
+        held, kept = None, []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            data, start, _ = _bytes(b.column(12))
+            width = 2 * SIDE + K
+            cols = [c.to_numpy(zero_copy_only=False) for c in b.columns[:12]] + [data[start[0] : start[0] + b.num_rows * width].reshape(-1, width)]
+            kept.append(cols)
+            if cols[0][0] == cols[0][-1] and cols[1][0] == cols[1][-1] and (held is None or (held[0] == cols[0][-1] and held[1] == cols[1][-1])):
+                held = (cols[0][-1], cols[1][-1])  # one cell goes on
+                continue
+            cols = [np.concatenate(x) for x in zip(*kept, strict=True)]
+            cut = int(((cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])).argmax())
+            if cut:
+                yield told([c[:cut] for c in cols])
+            kept, held = [[c[cut:].copy() for c in cols]], (cols[0][-1], cols[1][-1])
+        if kept:
+            yield told([np.concatenate(x) for x in zip(*kept, strict=True)])
+
+    cells = _cells(_contexts(hashes, rows)).select("key", "cell", "doc", "at", "at2", "left", "right", "own", "skip", "leads", "asks", "holds", "words")
+    dealt = cells.repartition("key", "cell").sortWithinPartitions("key", "cell", "doc", "at")
+    return dealt.mapInArrow(run, "doc long, at int, at2 int, partner long, pat int, pat2 int, sure boolean")
+
+
+def _linked(hashes: DataFrame, links: DataFrame) -> DataFrame:
+    """Passages along links as _asked() makes them (staged).  Sure links whose place the chain of all links of two
+    documents leaves uncovered stand alone."""
+    both = F.array_distinct(F.array(F.struct("at", "pat"), F.struct(F.col("at2").alias("at"), F.col("pat2").alias("pat"))))
+    each = links.select("doc", "partner", F.explode(both).alias("m")).select("doc", "m.at", "partner", "m.pat").distinct()
+    got = stage(_passages(hashes, _chains(each, True), few=True), "further", tidy=True)
+    left = stage(_uncovered(links.where("sure"), got, ("at",)), "alone")
+    if left.isEmpty():
+        return got
+    alone = left.select("doc", "partner", *(F.array(F.col(c).cast("long")).alias(to) for c, to in (("at", "a"), ("pat", "b"))))
+    return got.union(stage(_passages(hashes, alone, few=True), "further"))
 
 
 def _further(texts: DataFrame, places: DataFrame, found: DataFrame) -> DataFrame:
-    """Passages with further documents: those for which places that no passage found covers ask."""
-    pairs = stage(_pairs(places, found), "pairs", tidy=True)
-    asking, got, step = pairs.where("ask and nth > 1"), found, 0
-    if asking.isEmpty():
+    """Passages with further documents: those for which places that no passage found covers ask.  Every earlier holder of
+    the seed is compared, then every one of a pair of seeds for what is still uncovered."""
+    rows = stage(_holders(places, found).select(F.col("seed").alias("key"), "doc", "at", F.col("at").alias("at2"), "ask"), "holders", tidy=True)
+    if rows.isEmpty():
+        return found
+    hashes = stage(_hashed(sieve(texts, rows, "doc")), "hashes", tidy=True)
+    found = found.union(_linked(hashes, stage(_asked(hashes, rows), "links", tidy=True)))
+    pairs = stage(_pairs(places, found).select(F.col("pair").alias("key"), "doc", "at", "at2", F.col("ask").alias("ask")), "pairs", tidy=True)
+    if pairs.isEmpty():
         return found
-    hashes = stage(_hashed(sieve(texts, pairs, "doc")), "hashes", tidy=True)
-    new: list[DataFrame] = []
-    while not asking.isEmpty():
-        near, far = (GROWTH ** (step - 1) + 1, GROWTH**step) if step else (1, 1)
-        new.append(stage(_passages(hashes, _pair_links(pairs, asking, near, far, first=not step), few=True), "further", tidy=True))
-        got = got.union(new[-1])
-        asking = stage(_uncovered(asking.where(F.col("nth") > far + 2), got, ("at", "at2")), "asking")
-        step += 1
-    for df in new:
-        found = found.union(df)
-    return found
+    return found.union(_linked(hashes, stage(_asked(hashes, pairs, pairs=True), "links", tidy=True)))
 
 
 def _chains(links: DataFrame, single: bool) -> DataFrame:
@@ -429,7 +599,7 @@ def _parts(hashes: DataFrame, asked: DataFrame) -> DataFrame:
                     k = own[i:j]
                     bounds = np.concatenate([[0], np.cumsum(n[k])])
                     words = hashes[np.repeat(first[k] - bounds[:-1], n[k]) + np.arange(bounds[-1])]
-                    words = words.astype(np.uint8) if low else words
+                    words = _narrow(words) if low else words
                     cells = pa.Array.from_buffers(pa.binary(), len(k), [None, pa.py_buffer((bounds * words.itemsize).astype(np.int32)), pa.py_buffer(words)])
                     yield pa.RecordBatch.from_arrays([chain.take(pa.array(k)), side.take(pa.array(k)), pa.array(start[k]), cells], ["chain", "side", "start", "words"])
                     i = j
@@ -487,10 +657,10 @@ def _aligned(sides: DataFrame) -> DataFrame:
     return wanted.mapInArrow(run, "doc long, start long, end long, partner long, pstart long, pend long")
 
 
-def _passages(hashes: DataFrame, links: DataFrame, tidy: bool = False, single: bool = False, few: bool = False) -> DataFrame:
-    """doc, start, end, partner, pstart, pend of the passages along chains of links; few where the links
-    concern few of the documents, so that the others' words need not move."""
-    found = stage(_chains(links, single).withColumn("chain", F.xxhash64("doc", "partner", "a", "b")), "chains", tidy)
+def _passages(hashes: DataFrame, chains: DataFrame, tidy: bool = False, few: bool = False) -> DataFrame:
+    """doc, start, end, partner, pstart, pend of the passages along chains as _chains() makes them; few where
+    they concern few of the documents, so that the others' words need not move."""
+    found = stage(chains.withColumn("chain", F.xxhash64("doc", "partner", "a", "b")), "chains", tidy)
     reach = F.when(F.size("a") == 1, WORDS).otherwise(REACH)
     ask = lambda side, doc, places: found.select(F.col(doc).alias("doc"), F.struct("chain", F.lit(side).alias("side"), (F.element_at(places, 1) - reach).cast("long").alias("start"), (F.element_at(places, -1) + K + reach).cast("long").alias("end"), (F.size("a") == 1).alias("narrow")).alias("ask"))
     asked = ask(0, "doc", "a").union(ask(1, "partner", "b")).groupBy("doc").agg(F.collect_set("ask").alias("asks"))
@@ -520,7 +690,7 @@ def fuzzy_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(part.column(0).to_numpy()[doc]), pa.array(at.astype(np.int32))], ["seed", "doc", "at"])
 
     places = stage(_places(texts.mapInArrow(run, "seed long, doc long, at int")), "places", tidy=True)
-    found = stage(_passages(_hashed(texts), _links(places), tidy=True, single=True), "found", tidy=True)
+    found = stage(_passages(_hashed(texts), _chains(_links(places), True), tidy=True), "found", tidy=True)
     found = _further(texts, places, found)
     to = F.max("end").over(Window.partitionBy("doc", "partner").orderBy("start", F.desc("end"), "pstart", "pend").rowsBetween(Window.unboundedPreceding, -1))
     return found.withColumn("to", to).where("to is null or end > to").drop("to")
