@@ -58,6 +58,16 @@ def test_first_stage_keeps_or_removes_every_row(posts):
         assert removed.where("removal_reason = 'Comment longer than 5 words'").count() == over_words
 
 
+def test_first_stage_cleans_no_long_text(posts, monkeypatch):
+    """Long texts go by their raw words, so their cleaning, most of the work on large texts, is left out."""
+    monkeypatch.setattr(T, "minimal_clean", lambda c, normalise: F.when(T.count_words(c) > 5, F.raise_error(F.lit("cleaned"))).otherwise(c))
+    rows = posts.limit(3).union(posts.limit(1).selectExpr("777L", "post_id", "repeat('long ', 9)", "g"))
+    for cap in (None, 2):
+        kept, removed = curate.first_stage(rows.withColumn("comment_raw", F.when(F.col("comment_id") == 777, F.col("comment_raw")).otherwise("four words are here")), rules.RuleSet(), [F.col("comment_id")], max_words=5, cap=cap)
+        assert len(kept.collect()) == (cap or 3)
+        assert [r.comment_id for r in removed.where("removal_reason like 'Comment longer%'").collect()] == [777]
+
+
 def test_final_stage(spark):
     rows = spark.createDataFrame([(1, "Hay QUÁ!!!", "a"), (2, "hay quá", "b"), (3, None, "c"), (4, "...", "d"), (5, "", "e")], "comment_id long, comment_raw string, label string")
     got = curate.final_stage(rows, [F.col("comment_id")])

@@ -17,10 +17,10 @@ def first_stage(df: DataFrame, rules: RuleSet, order: list[Column], max_words: i
     Long texts go by their raw words, short ones by their cleaned words, then posts are capped.  key
     identifies a row in the cap's difference.
     """
-    tagged = df.withColumn("_clean", T.minimal_clean(F.col("comment_raw"), normalise))
-    long = filters.long_flag(F.col("comment_raw"), max_words) if max_words is not None else F.lit(False)
-    reason = F.when(long, f"Comment longer than {max_words} words").when(filters.short_flag(F.col("_clean"), rules.keep), T.removal_reason(F.col("_clean")))
-    tagged = tagged.withColumn("removal_reason", reason)
+    tagged = df.withColumn("_long", filters.long_flag(F.col("comment_raw"), max_words) if max_words is not None else F.lit(False))
+    tagged = tagged.withColumn("_clean", F.when(~F.col("_long"), T.minimal_clean(F.col("comment_raw"), normalise)))  # long texts go as they are
+    reason = F.when(F.col("_long"), f"Comment longer than {max_words} words").when(filters.short_flag(F.col("_clean"), rules.keep), T.removal_reason(F.col("_clean")))
+    tagged = tagged.withColumn("removal_reason", reason).drop("_long")
     if cap is not None:  # what is cleaned is looked at several times below
         tagged = tables.staged(tagged, "cleaned")
     removed = tagged.where("removal_reason is not null").drop("_clean")
