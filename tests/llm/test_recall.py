@@ -365,3 +365,16 @@ def test_contexts_that_go_on_alike(spark):
     assert got[2, 0].skip == own(2, 0) and got[2, 1].skip == 0 and got[1, 0].leads and not got[3, 0].leads and not got[1, 1].leads
     r = got[1, 0]
     assert (r.left, r.right) == (10, passages.SIDE) and len(r.words) == 2 * passages.SIDE + passages.K and bytes(r.words[:40]) == bytes(40) and r.words[40] > 0
+
+
+def test_a_long_passage_with_a_middle_holder_is_whole(spark):
+    """A long passage is found whole in a document that is neither the first nor the last holder of its seeds."""
+    from tidemill.llm import passages
+
+    rng = np.random.default_rng(6)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    a = word(400)
+    quotes = lambda: [x for i in range(0, 400, 20) for x in [*a[i : i + 20], *word(40)]]
+    rows = [(1, quotes()), (2, word(30) + a + word(30)), (3, quotes()), (4, word(20) + a + word(20))]
+    got = passages.passage_report(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got}[4] == 400

@@ -501,17 +501,28 @@ def _asked(hashes: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFrame
     return dealt.mapInArrow(run, "doc long, at int, at2 int, partner long, pat int, pat2 int, sure boolean")
 
 
-def _linked(hashes: DataFrame, links: DataFrame) -> DataFrame:
+def _linked(hashes: DataFrame, links: DataFrame, rows: DataFrame) -> DataFrame:
     """Passages along links as _asked() makes them (staged).  Sure links whose place the chain of all links of two
-    documents leaves uncovered stand alone."""
+    documents leaves uncovered stand alone.  Documents with a passage are chained again along all their common places of
+    rows (staged), as a passage goes on where places left their comparison to the one before."""
     both = F.array_distinct(F.array(F.struct("at", "pat"), F.struct(F.col("at2").alias("at"), F.col("pat2").alias("pat"))))
     each = links.select("doc", "partner", F.explode(both).alias("m")).select("doc", "m.at", "partner", "m.pat").distinct()
     got = stage(_passages(hashes, _chains(each, True), few=True), "further", tidy=True)
     left = stage(_uncovered(links.where("sure"), got, ("at",)), "alone")
-    if left.isEmpty():
+    if not left.isEmpty():
+        got = got.union(_alone(hashes, left))
+    if got.isEmpty():
         return got
+    both = got.select("doc", "partner").distinct()
+    mine = _merged(rows.select("doc", "key", "at"), both, "doc")
+    common = _merged(mine, rows.select(F.col("doc").alias("partner"), "key", F.col("at").alias("pat")), ["partner", "key"])
+    return got.union(stage(_passages(hashes, _chains(common.select("doc", "at", "partner", "pat").distinct(), True), few=True), "further"))
+
+
+def _alone(hashes: DataFrame, left: DataFrame) -> DataFrame:
+    """Passages along single links."""
     alone = left.select("doc", "partner", *(F.array(F.col(c).cast("long")).alias(to) for c, to in (("at", "a"), ("pat", "b"))))
-    return got.union(stage(_passages(hashes, alone, few=True), "further"))
+    return stage(_passages(hashes, alone, few=True), "further")
 
 
 def _further(texts: DataFrame, places: DataFrame, found: DataFrame) -> DataFrame:
@@ -521,11 +532,11 @@ def _further(texts: DataFrame, places: DataFrame, found: DataFrame) -> DataFrame
     if rows.isEmpty():
         return found
     hashes = stage(_hashed(sieve(texts, rows, "doc")), "hashes", tidy=True)
-    found = found.union(_linked(hashes, stage(_asked(hashes, rows), "links", tidy=True)))
+    found = found.union(_linked(hashes, stage(_asked(hashes, rows), "links", tidy=True), rows))
     pairs = stage(_pairs(places, found).select(F.col("pair").alias("key"), "doc", "at", "at2", F.col("ask").alias("ask")), "pairs", tidy=True)
     if pairs.isEmpty():
         return found
-    return found.union(_linked(hashes, stage(_asked(hashes, pairs, pairs=True), "links", tidy=True)))
+    return found.union(_linked(hashes, stage(_asked(hashes, pairs, pairs=True), "links", tidy=True), rows))
 
 
 def _chains(links: DataFrame, single: bool) -> DataFrame:
