@@ -378,3 +378,97 @@ def test_a_long_passage_with_a_middle_holder_is_whole(spark):
     rows = [(1, quotes()), (2, word(30) + a + word(30)), (3, quotes()), (4, word(20) + a + word(20))]
     got = passages.passage_report(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()
     assert {r.doc_id: r.n_removed for r in got}[4] == 400
+
+
+def test_filters_before_the_alignment_lose_nothing():
+    """Chains of several seeds that are left out hold no passage, and most without one are left out."""
+    import pyarrow as pa
+
+    from tidemill.llm.passages import K, align, diagonal, sharing
+
+    rng = np.random.default_rng(31)
+    rows = []
+    for _ in range(600):
+        x, y = (rng.integers(0, 1 << 16, int(rng.integers(70, 260))).astype(np.uint16) for _ in "xy")
+        n, i, j = int(rng.integers(20, 70)), *(int(rng.integers(0, 1 + len(t) - 70)) for t in (x, y))
+        same = rng.random(n) < rng.choice([0.7, 0.85, 1.0])
+        same[:K] = same[-K:] = True
+        y[j : j + n][same] = x[i : i + n][same]
+        rows.append((1, 0, [i + 500, i + n - K + 500], [j + 90, j + n - K + 90], 500, x.tobytes(), 90, y.tobytes()))
+    rows.append((1, 0, [5], [5], 5, b"abcd", 5, b"abc"))
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], list("abcdefgh"))
+    got = sharing(batch.slice(0, 100)).tolist() + sharing(batch.slice(100)).tolist()
+    found = 0
+    for (_, _, a, b, xs, x, ys, y), stays in zip(rows[:-1], got, strict=False):
+        u, v = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
+        matches = [(i - xs, j - ys) for i, j in zip(a, b, strict=True)]
+        passage = bool(align(u.tolist(), v.tolist(), matches) or diagonal(u, v, matches))
+        assert stays or not passage
+        found += passage
+    assert got[-1] and 100 < found <= sum(got) < 450
+
+
+def test_chains_without_a_tree():
+    """Matches in order on both sides are chained as the tree chains them, and pairs of documents without wide gaps as
+    one chain."""
+    from tidemill.llm import passages
+
+    rng = np.random.default_rng(32)
+    for _ in range(300):
+        n = int(rng.integers(2, 25))
+        a, b = (np.cumsum(rng.integers(1, rng.choice([5, 60, 200]), n)) for _ in "ab")
+        score, before = [], []
+        for i in range(n):
+            own = [(score[j] - passages.GAP * (a[i] - a[j] + b[i] - b[j]), j) for j in range(i)]
+            best = max(own, default=(0.0, -1))
+            score.append(passages.K + max(best[0], 0.0))
+            before.append(best[1] if best[0] > 1e-9 else -1)
+        got = passages.chain(a, b)
+        assert sorted(i for own in got for i in own) == list(range(n))
+        assert all(before[y] == x for own in got for x, y in zip(own, own[1:]))
+        assert score[got[0][-1]] > max(score) - 1e-6 and before[got[0][0]] == -1
+        if (passages.GAP * (np.diff(a) + np.diff(b)) < passages.K).all():
+            assert got == [list(range(n))]
+
+
+def test_words_compared_by_their_bits():
+    """Equal words are never counted as different, so that no pair of places is lost; in large cells every pair is met."""
+    from tidemill.llm.passages import _bits, _met, _unlike
+
+    rng = np.random.default_rng(33)
+    x, y = rng.integers(0, 256, (40, 104)).astype(np.uint8), rng.integers(0, 256, (700, 104)).astype(np.uint8)
+    y[::7, 20:70] = x[0, 20:70]
+    unlike = _unlike(_bits(x), _bits(y))
+    low = (x[:, None] & 15) != (y[None] & 15)
+    assert (unlike == low.sum(axis=2)).all() and (unlike <= (x[:, None] != y[None]).sum(axis=2)).all()
+    new = np.arange(700) == 0
+    odd = rng.random((700, 700)) < 0.5
+    for share in (0.01, 0.9):
+        near = odd & (rng.random((700, 700)) < share)
+        met = [np.stack(m, axis=1) for m in _met(new, np.arange(700), np.ones(700, bool), lambda i, j: odd[i, j], lambda i, j: near[i, j])]
+        pairs = [(i, j) for i in range(700) for j in range(i) if (near if i >= 256 else odd)[i, j]]
+        assert sorted(map(tuple, np.concatenate(met).tolist())) == sorted(pairs)
+
+
+def test_sides_of_chains_in_a_stream(spark):
+    """Both sides' words meet their chain's row wherever batches end, and where a side stands there twice."""
+    from tidemill.llm import passages
+
+    rng = np.random.default_rng(34)
+    rows, want = [], []
+    for c in range(60):
+        x = rng.integers(1, 255, 104).astype(np.uint8)
+        rows.append((c, -1, c + 1, 0, [50], [50], None, None))
+        sides = [(c, 0, None, None, None, None, 0, x.tobytes()), (c, 1, None, None, None, None, 0, x.tobytes())]
+        rows += sides[: 1 if c % 5 == 4 else 2] + sides * (c % 3 == 1)
+        if c % 5 != 4 or c % 3 == 1:
+            want.append((c + 1, 0, 104, 0, 0, 104))
+    df = spark.createDataFrame(rows, "chain long, side int, doc long, partner long, a array<long>, b array<long>, start long, words binary").repartition(3)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for n in (1, 2, 7, 10_000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+            assert sorted(tuple(r) for r in passages._aligned(df).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)

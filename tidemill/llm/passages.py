@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from operator import eq
+from operator import eq, lt
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,8 @@ CYCLE = 16
 APART = (36, 64)
 #: Chains whose words are Python objects at a time.
 ROWS = 256
+#: Bits of a word's hash by which it is looked up among the words of another text's part.
+LOOK = 11
 #: Words around a place that are compared with every holder: as many as diagonal() sees of a chain of one seed.
 SIDE = WORDS
 #: Of these, so many agree on a seed's diagonal; of some WORDS in a row around the seed, so many agree within a
@@ -70,12 +72,22 @@ def chain(a: np.ndarray, b: np.ndarray) -> list[list[int]]:
 
     A match gains K, and each word skipped on either side costs GAP; a Fenwick tree over b holds, for
     prefix maxima, each chain's score with the costs up to its end paid in advance."""
+    la, lb = a.tolist(), b.tolist()
+    score, before = [0.0] * len(a), [-1] * len(a)
+    if all(map(lt, la, la[1:])) and all(map(lt, lb, lb[1:])):  # the best to follow is always the match before, as its entry is the largest
+        entry = 0.0
+        for i, paid in enumerate([GAP * (x + y) for x, y in zip(la, lb, strict=True)]):
+            score[i] = float(K)
+            if i and entry - paid > 0:
+                score[i] += entry - paid
+                before[i] = i - 1
+            entry = score[i] + paid
+        return _traced(score, before)
     order = np.lexsort((b, a))
     ranks = np.searchsorted(np.unique(b), b) + 1
     size = int(ranks.max())
     tree: list[tuple[float, int]] = [(0.0, -1)] * (size + 1)
-    score, before = [0.0] * len(a), [-1] * len(a)
-    la, lb, lr = a.tolist(), b.tolist(), ranks.tolist()
+    lr = ranks.tolist()
     held: list[tuple[int, tuple[float, int]]] = []
     last = None
     for i in order.tolist():
@@ -98,8 +110,13 @@ def chain(a: np.ndarray, b: np.ndarray) -> list[list[int]]:
                 score[i] += gained
                 before[i] = best[1]
         held.append((lr[i], (score[i] + GAP * (la[i] + lb[i]), i)))
-    used, out = [False] * len(la), []
-    for i in sorted(range(len(la)), key=lambda i: (-score[i], i)):
+    return _traced(score, before)
+
+
+def _traced(score: list[float], before: list[int]) -> list[list[int]]:
+    """Chains by their matches' scores and the match that each follows (-1: none), best first."""
+    used, out = [False] * len(score), []
+    for i in sorted(range(len(score)), key=lambda i: (-score[i], i)):
         own = []
         while i >= 0 and not used[i]:
             used[i] = True
@@ -282,7 +299,8 @@ def _places(rows: DataFrame) -> DataFrame:
 
 def _links(places: DataFrame) -> DataFrame:
     """doc, at, partner, pat: each place with the first and the last earlier one."""
-    both = F.array_distinct(F.array(*(F.struct(F.col(f"{x}_doc").alias("doc"), F.col(f"{x}_at").alias("at")) for x in ("one", "last"))))
+    one, last = (F.struct(F.col(f"{x}_doc").alias("doc"), F.col(f"{x}_at").alias("at")) for x in ("one", "last"))
+    both = F.when(F.expr("one_doc = last_doc and one_at = last_at"), F.array(one)).otherwise(F.array(one, last))
     return places.where("one_doc is not null").select("doc", "at", F.explode(both).alias("p")).select("doc", "at", F.col("p.doc").alias("partner"), F.col("p.at").alias("pat"))
 
 
@@ -387,10 +405,10 @@ def _contexts(hashes: DataFrame, rows: DataFrame) -> DataFrame:
     return _merged(hashes, asks, "doc").select("doc", "hashes", "asks").mapInArrow(run, schema)
 
 
-def _cells(rows: DataFrame) -> DataFrame:
-    """rows (key, doc, ask and more) with cell, asks and holds.  The documents of a key are cut into ranges, one for each
+def _cells(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """rows (key, doc, ask and more; keys has key and doc of them) with cell, asks and holds.  The documents of a key are cut into ranges, one for each
     CELL rows; every two ranges are a cell, in which the asking rows of the later one meet all rows of the earlier one."""
-    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / CELL).cast("int").alias("_n"), F.min("doc").alias("_low"), F.max("doc").alias("_high")).where("_low < _high")
+    sizes = keys.groupBy("key").agg(F.ceil(F.count("*") / CELL).cast("int").alias("_n"), F.min("doc").alias("_low"), F.max("doc").alias("_high")).where("_low < _high")
     dealt = _merged(rows, sizes, "key").withColumn("_own", F.least(F.col("_n") - 1, F.floor((F.col("doc") - F.col("_low")) / (F.col("_high") - F.col("_low") + 1.0) * F.col("_n")).cast("int")))
     cell = lambda late, early: (late * F.col("_n") + early).alias("cell")
     held = F.transform(F.sequence("_own", F.col("_n") - 1), lambda i: F.struct(cell(i, F.col("_own")), (F.col("ask") & (i == F.col("_own"))).alias("asks"), F.lit(True).alias("holds")))
@@ -414,9 +432,32 @@ def _promising(x: np.ndarray, y: np.ndarray, shift: int) -> np.ndarray:
     return (total[:, first + WORDS : SIDE + WORDS + 1] - total[:, first : SIDE + 1]).max(axis=1) >= NEAR
 
 
-def _met(new: np.ndarray, upto: np.ndarray, asks: np.ndarray, fit) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _bits(words: np.ndarray) -> np.ndarray:
+    """The 4 low bits of every word of rows of at most 128 words: for each bit, two rows that hold 64 places a cell."""
+    out = np.zeros((8, len(words)), U)
+    for k in range(4):
+        cells = np.zeros((len(words), 16), np.uint8)
+        cells[:, : (words.shape[1] + 7) // 8] = np.packbits(words >> k & 1, axis=1)
+        out[2 * k : 2 * k + 2] = cells.view(U).T
+    return out
+
+
+def _unlike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """At how many places (at most) the words of each row of x and each row of y differ, both as _bits() gives them.  A few
+    ns a pair; equal words are never counted, one in 16 that differ isn't either."""
+    total = 0
+    for half in (0, 1):
+        unlike = x[half, :, None] ^ y[half]
+        for k in range(2 + half, len(x), 2):
+            unlike |= x[k, :, None] ^ y[k]
+        total = total + np.bitwise_count(unlike)
+    return total
+
+
+def _met(new: np.ndarray, upto: np.ndarray, asks: np.ndarray, fit, likely=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Numbers of asking rows and of the earlier rows of their cells (new marks a cell's first row, upto is the
-    first row of a row's document) for which fit holds, at most PAIRS at a time."""
+    first row of a row's document) for which fit holds, at most PAIRS at a time.
+    In large cells likely tells first, for some rows and a slice of rows, which of all their pairs fit may hold for."""
     n = np.arange(len(new))
     group = np.maximum.accumulate(np.where(new, n, 0))
     a = np.flatnonzero(asks & (upto > group))
@@ -435,9 +476,18 @@ def _met(new: np.ndarray, upto: np.ndarray, asks: np.ndarray, fit) -> Iterator[t
         for k in range(lo, hi, step):
             own = many[k : min(hi, k + step), None]
             other = np.arange(first, upto[own[-1, 0]])[None, :]
-            x, y = np.nonzero(fit(own, other) & (other < upto[own]))
-            for q in range(0, len(x), PAIRS):
-                yield own[x[q : q + PAIRS], 0], y[q : q + PAIRS] + first
+            near = other < upto[own]
+            if likely:
+                near &= likely(own[:, 0], slice(first, first + near.shape[1]))
+            most = 4 * np.count_nonzero(near) > near.size
+            if most:
+                near &= fit(own, other)
+            met = np.flatnonzero(near)
+            for q in range(0, len(met), PAIRS):
+                x, y = np.divmod(met[q : q + PAIRS], near.shape[1])
+                i, j = own[x, 0], y + first
+                keep = slice(None) if most else fit(i, j)
+                yield i[keep], j[keep]
 
 
 def _asked(hashes: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFrame:
@@ -458,14 +508,19 @@ def _asked(hashes: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFrame
                 out = holds[j] & ((skip[i] == 0) | (skip[i] != own[j]))
                 return out if pairs else out & (np.minimum(left[i], left[j]) + np.minimum(right[i], right[j]) + K >= NEAR)
 
+            likely = None
+            if not pairs:
+                asking, holding = _bits(mine), _bits(words)
+                likely = lambda i, j: _unlike(asking[:, i], holding[:, j]) <= words.shape[1] - ALONG
+
             out: list[np.ndarray] = [np.zeros((3, 0), np.int64)]
-            for i, j in _met(new, upto, asks, fit):
+            for i, j in _met(new, upto, asks, fit, likely):
                 same = (np.take(mine, i, axis=0) == np.take(words, j, axis=0)).view(U)
                 total = (np.einsum("ij->i", same) * U(0x0101010101010101)) >> U(56)  # equal words, eight a lane
                 if not pairs:
                     i, j, total = (c[total >= ALONG] for c in (i, j, total))
-                likely = _promising(mine[i], words[j], SHIFTS[pairs])
-                out.append(np.stack([i[likely], j[likely], total[likely].astype(np.int64)]))
+                fair = _promising(mine[i], words[j], SHIFTS[pairs])
+                out.append(np.stack([i[fair], j[fair], total[fair].astype(np.int64)]))
             i, j, total = np.concatenate(out, axis=1)
             order = np.lexsort((j, i))
             i, j, total = i[order], j[order], total[order]
@@ -496,7 +551,7 @@ def _asked(hashes: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFrame
         if kept:
             yield told([np.concatenate(x) for x in zip(*kept, strict=True)])
 
-    cells = _cells(_contexts(hashes, rows)).select("key", "cell", "doc", "at", "at2", "left", "right", "own", "skip", "leads", "asks", "holds", "words")
+    cells = _cells(_contexts(hashes, rows), rows).select("key", "cell", "doc", "at", "at2", "left", "right", "own", "skip", "leads", "asks", "holds", "words")
     dealt = cells.repartition("key", "cell").sortWithinPartitions("key", "cell", "doc", "at")
     return dealt.mapInArrow(run, "doc long, at int, at2 int, partner long, pat int, pat2 int, sure boolean")
 
@@ -525,15 +580,15 @@ def _alone(hashes: DataFrame, left: DataFrame) -> DataFrame:
     return stage(_passages(hashes, alone, few=True), "further")
 
 
-def _further(texts: DataFrame, places: DataFrame, found: DataFrame) -> DataFrame:
+def _further(hashes: DataFrame, places: DataFrame, found: DataFrame) -> DataFrame:
     """Passages with further documents: those for which places that no passage found covers ask.  Every earlier holder of
     the seed is compared, then every one of a pair of seeds for what is still uncovered."""
     rows = stage(_holders(places, found).select(F.col("seed").alias("key"), "doc", "at", F.col("at").alias("at2"), "ask"), "holders", tidy=True)
     if rows.isEmpty():
         return found
-    hashes = stage(_hashed(sieve(texts, rows, "doc")), "hashes", tidy=True)
     found = found.union(_linked(hashes, stage(_asked(hashes, rows), "links", tidy=True), rows))
-    pairs = stage(_pairs(places, found).select(F.col("pair").alias("key"), "doc", "at", "at2", F.col("ask").alias("ask")), "pairs", tidy=True)
+    asked = rows.select(F.col("key").alias("seed"), "doc", "at", F.col("ask").alias("more"))  # what is still open is among these
+    pairs = stage(_pairs(asked, found).select(F.col("pair").alias("key"), "doc", "at", "at2", F.col("ask").alias("ask")), "pairs", tidy=True)
     if pairs.isEmpty():
         return found
     return found.union(_linked(hashes, stage(_asked(hashes, pairs, pairs=True), "links", tidy=True), rows))
@@ -541,20 +596,26 @@ def _further(texts: DataFrame, places: DataFrame, found: DataFrame) -> DataFrame
 
 def _chains(links: DataFrame, single: bool) -> DataFrame:
     """doc, partner, a, b (places of a chain's matches); single takes chains of one match too.  Links are
-    sorted by pair and read as a stream; the matches of one pair of documents are worked on together."""
+    sorted by a hash of their pair and read as a stream; the matches of one pair of documents are worked on together."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(cols) -> pa.RecordBatch:
-            doc, partner, at, pat = cols
+            _, doc, partner, at, pat = cols
+            order = np.lexsort((pat, at, partner, doc))
+            doc, partner, at, pat = (c[order] for c in (doc, partner, at, pat))
             new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (partner[1:] != partner[:-1])])
             first = np.flatnonzero(new)
             sizes = np.diff(np.append(first, len(doc)))
-            members: list[list[int]] = [[i] for i in first[sizes == 1].tolist()] if single else []
-            for i, n in zip(first[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+            x, y = np.diff(at), np.diff(pat)
+            near = (x > 0) & (y > 0) & (GAP * (x + y) < K)  # where every match gains on the one before, all are one chain
+            whole = np.logical_and.reduceat(np.concatenate([[True], new[1:] | near]), first)
+            alone = whole & (sizes > (0 if single else 1))
+            members: list[list[int]] = []
+            for i, n in zip(first[~whole].tolist(), sizes[~whole].tolist(), strict=True):
                 members += [[i + k for k in own] for own in chain(at[i : i + n], pat[i : i + n]) if single or len(own) > 1]
-            flat = np.array([i for own in members for i in own], np.int64)
-            ends = np.concatenate([[0], np.cumsum([len(own) for own in members])]).astype(np.int32)
-            head = flat[ends[:-1]] if len(members) else flat
+            flat = np.concatenate([np.flatnonzero(np.repeat(alone, sizes)), np.array([i for own in members for i in own], np.int64)])
+            ends = np.concatenate([[0], np.cumsum(np.concatenate([sizes[alone], np.array([len(own) for own in members], np.int64)]))]).astype(np.int32)
+            head = flat[ends[:-1]]
             lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x[flat])) for x in (at, pat)]
             return pa.RecordBatch.from_arrays([pa.array(doc[head]), pa.array(partner[head]), *lists], ["doc", "partner", "a", "b"])
 
@@ -564,7 +625,7 @@ def _chains(links: DataFrame, single: bool) -> DataFrame:
                 continue
             cols = [c.to_numpy().astype(np.int64) for c in b.columns]
             cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols, strict=True)]
-            open_pair = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])
+            open_pair = cols[0] == cols[0][-1]
             cut = int(np.flatnonzero(~open_pair)[-1]) + 1 if not open_pair.all() else 0
             if cut:
                 yield told([c[:cut] for c in cols])
@@ -572,7 +633,7 @@ def _chains(links: DataFrame, single: bool) -> DataFrame:
         if held is not None:
             yield told(held)
 
-    rows = links.select("doc", "partner", "at", "pat").repartition("doc", "partner").sortWithinPartitions("doc", "partner", "at", "pat")
+    rows = links.select(F.xxhash64("doc", "partner").alias("pair"), "doc", "partner", "at", "pat").repartition("pair").sortWithinPartitions("pair")
     return rows.mapInArrow(run, "doc long, partner long, a array<long>, b array<long>")
 
 
@@ -619,7 +680,7 @@ def _parts(hashes: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def hopeful(batch: pa.RecordBatch) -> np.ndarray:
-    """Which rows (columns as in _aligned()) may hold a passage: chains of several seeds, and those of one
+    """Which rows (columns as _together() gives them) may hold a passage: chains of several seeds, and those of one
     seed whose diagonal has enough equal words, which diagonal() asks too.  All rows at once: each pair of
     diagonals is one run of bytes of either column, and equal bytes are counted by run."""
     _, _, a, b, xs, x, ys, y = batch.columns
@@ -638,18 +699,69 @@ def hopeful(batch: pa.RecordBatch) -> np.ndarray:
     return out
 
 
+def sharing(batch: pa.RecordBatch) -> np.ndarray:
+    """Which rows (columns as _together() gives them) may hold a passage: chains of one seed, and those of several with as
+    many words as a passage matches that the other side has anywhere, by LOOK bits of their hashes (equal words are
+    never missed)."""
+    _, _, a, _, _, x, _, y = batch.columns
+    out = np.ones(batch.num_rows, bool)
+    several = np.flatnonzero(pc.greater(pc.list_value_length(a), 1).to_numpy(zero_copy_only=False))
+    for i in range(0, len(several), ROWS):
+        k = several[i : i + ROWS]
+        sides = []
+        for column in (x, y):
+            data, at, size = _bytes(column.take(pa.array(k)))
+            words = data[at[0] : at[-1] + size[-1]].view(np.uint16)
+            sides.append((size // 2, (np.repeat(np.arange(len(k)), size // 2) << LOOK) + (words & ((1 << LOOK) - 1))))
+        there = np.zeros(len(k) << LOOK, bool)
+        there[sides[1][1]] = True
+        out[k] = 100 * per_doc(there[sides[0][1]], np.concatenate([[0], np.cumsum(sides[0][0])])) >= PERCENT * WORDS
+    return out
+
+
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bytes of a binary column, and each row's start and size."""
     ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     return np.frombuffer(column.buffers()[2] or b"", np.uint8), ends[:-1], np.diff(ends)
 
 
-def _aligned(sides: DataFrame) -> DataFrame:
-    """Passages of chains with both sides' words: doc, start, end, partner, pstart, pend."""
+def _together(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows of whole chains, sorted (columns as in _aligned()): doc, partner, a, b and either side's start and words of those
+    with both sides, a row each.  Of a side that stands there twice (its document's row does) the first counts."""
+    chain, side = (rows.column(k).to_numpy() for k in (0, 1))
+    first = np.flatnonzero(np.concatenate([[True], (chain[1:] != chain[:-1]) | (side[1:] != side[:-1])]))
+    chain, side = chain[first], side[first]
+    k = np.flatnonzero((side[:-2] == -1) & (side[2:] == 1) & (chain[:-2] == chain[2:]) & (chain[:-2] == chain[1:-1]))
+    head, x, y = (pa.array(first[k + n]) for n in range(3))
+    return pa.RecordBatch.from_arrays([*(rows.column(n).take(head) for n in (2, 3, 4, 5)), *(rows.column(n).take(own) for own in (x, y) for n in (6, 7))], ["doc", "partner", "a", "b", "xs", "x", "ys", "y"])
+
+
+def _aligned(rows: DataFrame) -> DataFrame:
+    """Passages of chains: doc, start, end, partner, pstart, pend.  rows: chain, side, doc, partner, a, b, start, words;
+    a chain's own row has side -1, then both sides' words follow.  Rows are sorted and read as a stream."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            yield from passages(whole.filter(pa.array(hopeful(whole))) if whole.num_rows else whole)
+        def told(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            whole = _together(pa.Table.from_batches(parts).combine_chunks().to_batches()[0])
+            for fit in (hopeful, sharing):
+                whole = whole.filter(pa.array(fit(whole))) if whole.num_rows else whole
+            yield from passages(whole)
+
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            chain = b.column(0).to_numpy()
+            cut = int((chain == chain[-1]).argmax())  # the last chain may go on
+            if cut:
+                yield from told([*held, b.slice(0, cut)])
+                held = []
+            elif held and held[-1].column(0)[-1].as_py() != chain[-1]:
+                yield from told(held)
+                held = []
+            held.append(b.slice(cut))
+        if held:
+            yield from told(held)
 
     def passages(whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(i, ROWS) for i in range(0, whole.num_rows, ROWS)):
@@ -664,8 +776,7 @@ def _aligned(sides: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc", "start", "end", "partner", "pstart", "pend"])
 
-    wanted = sides.select("doc", "partner", "a", "b", F.col("x.start").alias("xs"), F.col("x.words").alias("x"), F.col("y.start").alias("ys"), F.col("y.words").alias("y"))
-    return wanted.mapInArrow(run, "doc long, start long, end long, partner long, pstart long, pend long")
+    return rows.repartition("chain").sortWithinPartitions("chain", "side").mapInArrow(run, "doc long, start long, end long, partner long, pstart long, pend long")
 
 
 def _passages(hashes: DataFrame, chains: DataFrame, tidy: bool = False, few: bool = False) -> DataFrame:
@@ -674,13 +785,12 @@ def _passages(hashes: DataFrame, chains: DataFrame, tidy: bool = False, few: boo
     found = stage(chains.withColumn("chain", F.xxhash64("doc", "partner", "a", "b")), "chains", tidy)
     reach = F.when(F.size("a") == 1, WORDS).otherwise(REACH)
     ask = lambda side, doc, places: found.select(F.col(doc).alias("doc"), F.struct("chain", F.lit(side).alias("side"), (F.element_at(places, 1) - reach).cast("long").alias("start"), (F.element_at(places, -1) + K + reach).cast("long").alias("end"), (F.size("a") == 1).alias("narrow")).alias("ask"))
-    asked = ask(0, "doc", "a").union(ask(1, "partner", "b")).groupBy("doc").agg(F.collect_set("ask").alias("asks"))
+    asked = ask(0, "doc", "a").union(ask(1, "partner", "b")).groupBy("doc").agg(F.collect_list("ask").alias("asks"))
     if few:
         asked = stage(asked, "asked")
         hashes = sieve(hashes, asked, "doc")
-    parts = _parts(hashes, asked)
-    sides = parts.groupBy("chain").agg(F.max(F.when(F.col("side") == 0, F.struct("start", "words"))).alias("x"), F.max(F.when(F.col("side") == 1, F.struct("start", "words"))).alias("y"))
-    return _aligned(_merged(found, sides, "chain").where("x is not null and y is not null"))
+    own = found.select("chain", F.lit(-1).alias("side"), "doc", "partner", "a", "b")
+    return _aligned(own.unionByName(_parts(hashes, asked), allowMissingColumns=True))
 
 
 def fuzzy_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -701,8 +811,9 @@ def fuzzy_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(part.column(0).to_numpy()[doc]), pa.array(at.astype(np.int32))], ["seed", "doc", "at"])
 
     places = stage(_places(texts.mapInArrow(run, "seed long, doc long, at int")), "places", tidy=True)
-    found = stage(_passages(_hashed(texts), _chains(_links(places), True), tidy=True), "found", tidy=True)
-    found = _further(texts, places, found)
+    hashes = stage(_hashed(texts), "hashes")
+    found = stage(_passages(hashes, _chains(_links(places), True), tidy=True), "found", tidy=True)
+    found = _further(hashes, places, found)
     to = F.max("end").over(Window.partitionBy("doc", "partner").orderBy("start", F.desc("end"), "pstart", "pend").rowsBetween(Window.unboundedPreceding, -1))
     return found.withColumn("to", to).where("to is null or end > to").drop("to")
 
