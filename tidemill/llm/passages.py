@@ -633,7 +633,7 @@ def _chains(links: DataFrame, single: bool) -> DataFrame:
         if held is not None:
             yield told(held)
 
-    rows = links.select(F.xxhash64("doc", "partner").alias("pair"), "doc", "partner", "at", "pat").repartition("pair").sortWithinPartitions("pair")
+    rows = links.select("doc", "partner", "at", "pat").repartition("doc", "partner").select(F.xxhash64("doc", "partner").alias("pair"), "*").sortWithinPartitions("pair")
     return rows.mapInArrow(run, "doc long, partner long, a array<long>, b array<long>")
 
 
