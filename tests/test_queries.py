@@ -1,6 +1,7 @@
 """Every query with SQL gives the same rows as DuckDB; the others run."""
 
 import math
+import unicodedata
 
 import duckdb
 import pytest
@@ -47,3 +48,14 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_minimal_clean_normalises(spark, tmp_path):
+    texts = [unicodedata.normalize("NFD", x) for x in ("Xe ĐẸP quá Xem thêm ok", "é Å", "plain", "Ế già")]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'s' AS source", "'vi' AS lang").write.parquet(path)
+    got = {r.doc_id: r.value for r in Q.QUERIES["minimal_clean"](spark, str(tmp_path)).collect()}
+    assert got == {0: "xe đẹp quá ok", 1: "é å", 2: "plain", 3: "ế già"}
+    own = duckdb.connect()
+    own.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    assert got == dict(own.sql(Q.SQL["minimal_clean"]).fetchall())
