@@ -472,3 +472,41 @@ def test_sides_of_chains_in_a_stream(spark):
             assert sorted(tuple(r) for r in passages._aligned(df).collect()) == want
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def test_runs_of_words_beyond_a_common_line():
+    """Pairs of one seed that make a passage share a run of words beyond a line that all holders have; the others are few."""
+    from tidemill.llm.passages import K, SIDE, _met, _runs, diagonal
+
+    rng = np.random.default_rng(31)
+    words = rng.integers(1, 255, (600, 2 * SIDE + K)).astype(np.uint8)
+    words[:, SIDE - 5 : SIDE + K + 4] = words[0, SIDE - 5 : SIDE + K + 4]
+    want = set()
+    for i in range(300, 340):  # 50 words of an earlier row, 10 of them changed
+        start = int(rng.integers(4, SIDE - 4))
+        words[i, start : start + 50] = words[i - 300, start : start + 50]
+        for k in rng.choice([x for x in range(start + 1, start + 49) if not SIDE - 5 <= x < SIDE + K + 4], 10, replace=False):
+            words[i, k] = words[i, k] % 254 + 1
+        if diagonal(words[i], words[i - 300], [(SIDE, SIDE)]):
+            want.add((i, i - 300))
+    words[340] = words[341] = 7  # one word over and over
+    assert len(want) == 40
+    heavy, x, y = next(iter(_runs(words, words)))
+    near = {(i, j) for i, j in zip(x.tolist(), y.tolist()) if j < i}
+    assert want <= near and len(near) < 1000 and heavy.tolist() == [340, 341]  # of 180,000 pairs
+    calls = []
+    fit = lambda i, j: calls.append(np.size(i)) or np.ones(np.broadcast(i, j).shape, bool)
+    met = _met(np.arange(600) == 0, np.arange(600), np.ones(600, bool), fit, None, lambda i, j: _runs(words[i], words[j]))
+    got = {(i, j) for m in met for i, j in zip(*(c.tolist() for c in m)) if i >= 256}
+    assert got == {(i, j) for i, j in near if i >= 256} | {(i, j) for i in (340, 341) for j in range(i)}
+
+
+def test_places_in_common(spark):
+    from tidemill.llm.passages import _in_common
+
+    rng = np.random.default_rng(32)
+    rows = sorted({(int(rng.integers(9)), int(rng.integers(12)), int(rng.integers(40))) for _ in range(200)})
+    both = [(d, p) for d in range(12) for p in range(d) if rng.random() < 0.5]
+    df = spark.createDataFrame(rows, "key long, doc long, at int")
+    got = sorted(tuple(r) for r in _in_common(df, spark.createDataFrame(both, "doc long, partner long")).collect())
+    assert got == sorted((d, a, p, b) for d, p in both for k, x, a in rows if x == d for q, y, b in rows if y == p and q == k)

@@ -45,6 +45,8 @@ SIDE = WORDS
 #: Of these, so many agree on a seed's diagonal; of some WORDS in a row around the seed, so many agree within a
 #: shift of so many words (for seeds, for pairs).  A passage of 51 to 99 words may have no better WORDS in a row than 35.
 ALONG, NEAR, SHIFTS = 16, 35, (3, 10)
+#: Words around a seed that may be common to all holders of it; a passage has RUN equal words in a row beyond them.
+COMMON, RUN = 15, 3
 #: Rows of one key that meet in one task, about; more are dealt into cells by ranges of documents.
 CELL = 1 << 14
 #: Pairs of places whose words are compared at a time.
@@ -454,10 +456,62 @@ def _unlike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return total
 
 
-def _met(new: np.ndarray, upto: np.ndarray, asks: np.ndarray, fit, likely=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _runs(asking: np.ndarray, holding: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For slices of rows of asking: which of them have runs in common with too many rows of holding to tell these apart, and
+    for the others, pairs of a row of asking and one of holding (numbers in either) that have RUN words in a row in common,
+    a seed's shift away at most, beyond COMMON words around the seed.  Of these stretches that with the most such pairs
+    counts, as a line that many texts share.
+
+    No passage without skipped words is missed that lies in the words compared.  One of n words has 0.8 n - COMMON equal words at least beyond the stretch, which 0.2 n
+    words that differ and the stretch part into 0.2 n + 2 runs at most, so for n of 48 and more one run has RUN words."""
+
+    def codes(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = words.astype(np.uint32)
+        n = w.shape[1] - RUN + 1
+        code, there = np.zeros((len(w), n), np.uint32), np.ones((len(w), n), bool)
+        for k in range(RUN):
+            code = code << np.uint32(8) | w[:, k : k + n]
+            there &= (w[:, k : k + n] > 0) & (w[:, k : k + n] < 255)
+        return code << np.uint32(7) | np.arange(n, dtype=np.uint32), there
+
+    code, there = codes(holding)
+    held = np.sort(code[there].astype(U) << U(32) | np.nonzero(there)[0].astype(U))
+    held, row = (held >> U(32)).astype(np.uint32), (held & U(0xFFFFFFFF)).astype(np.int64)
+    shift, free = np.uint32(SHIFTS[0]), COMMON - K
+    lefts = np.arange(free + 1)
+    for k in range(0, len(asking), 2048):
+        code, there = codes(asking[k : k + 2048])
+        at = np.flatnonzero(there)
+        at = at[np.argsort(code.ravel()[at])]  # searched in order
+        place = np.minimum(code.ravel()[at] & np.uint32(127), shift)
+        low, size = np.zeros(code.size, np.int64), np.zeros(code.size, np.int64)
+        low[at] = np.searchsorted(held, code.ravel()[at] - place)
+        size[at] = np.searchsorted(held, code.ravel()[at] + shift, "right") - low[at]
+        size = size.reshape(code.shape)
+        upto = np.concatenate([np.zeros((len(size), 1), np.int64), np.cumsum(size, axis=1)], axis=1)
+        left = (upto[:, SIDE + K + free - lefts] - upto[:, SIDE - lefts - RUN + 1]).argmax(axis=1)[:, None]
+        place = np.arange(size.shape[1])
+        size[(place > SIDE - left - RUN) & (place < SIDE + K + free - left)] = 0
+        total = size.sum(axis=1)
+        heavy = 2 * total > len(holding)
+        size[heavy] = 0
+        ends, i, pairs = np.cumsum(np.where(heavy, 0, total)), 0, []
+        while i < len(size):
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + 64 * PAIRS, "right")))
+            n = size[i:j].ravel()
+            own = np.flatnonzero(n)
+            n, first = n[own], low[i * size.shape[1] : j * size.shape[1]][own]
+            other = row[np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            pairs.append(np.unique(np.repeat(own // size.shape[1] + k + i, n) * len(holding) + other))
+            i = j
+        yield np.flatnonzero(heavy) + k, *np.divmod(np.concatenate(pairs), len(holding))
+
+
+def _met(new: np.ndarray, upto: np.ndarray, asks: np.ndarray, fit, likely=None, runs=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Numbers of asking rows and of the earlier rows of their cells (new marks a cell's first row, upto is the
     first row of a row's document) for which fit holds, at most PAIRS at a time.
-    In large cells likely tells first, for some rows and a slice of rows, which of all their pairs fit may hold for."""
+    In large cells runs (for asking rows and a slice of rows: as _runs() gives them) and, for rows that it can't tell apart,
+    likely (for some rows and a slice of rows: which of all their pairs) tell first for which pairs fit may hold."""
     n = np.arange(len(new))
     group = np.maximum.accumulate(np.where(new, n, 0))
     a = np.flatnonzero(asks & (upto > group))
@@ -472,9 +526,21 @@ def _met(new: np.ndarray, upto: np.ndarray, asks: np.ndarray, fit, likely=None)
         yield i[own], j[own]
     edges = np.concatenate([[0], np.flatnonzero(np.diff(group[many])) + 1, [len(many)]]) if len(many) else [0]
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):  # the asking rows of one cell
-        first, step = group[many[lo]], max(1, 8 * PAIRS // int(upto[many[hi - 1]] - group[many[lo]]))
-        for k in range(lo, hi, step):
-            own = many[k : min(hi, k + step), None]
+        first, last, left = group[many[lo]], upto[many[hi - 1]], many[lo:hi]
+        if runs:
+            heavy = [left[:0]]
+            for rest, x, y in runs(many[lo:hi], slice(first, last)):
+                heavy.append(many[lo + rest])
+                i, j = many[lo + x], y + first
+                keep = j < upto[i]
+                keep[keep] = fit(i[keep], j[keep])
+                i, j = i[keep], j[keep]
+                for q in range(0, len(i), PAIRS):
+                    yield i[q : q + PAIRS], j[q : q + PAIRS]
+            left = np.concatenate(heavy)
+        step = max(1, 8 * PAIRS // int(last - first))
+        for k in range(0, len(left), step):
+            own = left[k : k + step, None]
             other = np.arange(first, upto[own[-1, 0]])[None, :]
             near = other < upto[own]
             if likely:
@@ -491,10 +557,10 @@ def _met(new: np.ndarray, upto: np.ndarray, asks: np.ndarray, fit, likely=None)
 
 
 def _asked(hashes: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFrame:
-    """doc, at, at2, partner, pat, pat2, sure: links of asking rows (key, doc, at, at2, ask) with earlier documents that
+    """doc, at, at2, partner, pat, pat2, sure, alone: links of asking rows (key, doc, at, at2, ask) with earlier documents that
     have the key and may make a passage around the place.  A place that does not lead gets one sure link in a cell, with the
     earliest document whose words make a passage over it as they are; where there is none, and for pairs, it gets all
-    that may."""
+    that may.  alone marks links that may make a passage as a chain of their own."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(cols) -> pa.RecordBatch:
@@ -508,13 +574,14 @@ def _asked(hashes: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFrame
                 out = holds[j] & ((skip[i] == 0) | (skip[i] != own[j]))
                 return out if pairs else out & (np.minimum(left[i], left[j]) + np.minimum(right[i], right[j]) + K >= NEAR)
 
-            likely = None
+            likely = runs = None
             if not pairs:
                 asking, holding = _bits(mine), _bits(words)
                 likely = lambda i, j: _unlike(asking[:, i], holding[:, j]) <= words.shape[1] - ALONG
+                runs = lambda i, j: _runs(mine[i], np.where(holds[j, None], words[j], np.uint8(0)))
 
             out: list[np.ndarray] = [np.zeros((3, 0), np.int64)]
-            for i, j in _met(new, upto, asks, fit, likely):
+            for i, j in _met(new, upto, asks, fit, likely, runs):
                 same = (np.take(mine, i, axis=0) == np.take(words, j, axis=0)).view(U)
                 total = (np.einsum("ij->i", same) * U(0x0101010101010101)) >> U(56)  # equal words, eight a lane
                 if not pairs:
@@ -530,7 +597,8 @@ def _asked(hashes: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFrame
                     best[i[k]] = j[k]
             keep = (best[i] < 0) | (best[i] == j)
             i, j = i[keep], j[keep]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[i], at[i], at2[i], doc[j], at[j], at2[j], best[i] >= 0)], ["doc", "at", "at2", "partner", "pat", "pat2", "sure"])
+            alone = pairs | (100 * total[keep] >= PERCENT * WORDS)  # as hopeful() asks
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[i], at[i], at2[i], doc[j], at[j], at2[j], best[i] >= 0, alone)], ["doc", "at", "at2", "partner", "pat", "pat2", "sure", "alone"])
 
         held, kept = None, []
         for b in batches:
@@ -553,7 +621,7 @@ def _asked(hashes: DataFrame, rows: DataFrame, pairs: bool = False) -> DataFrame
 
     cells = _cells(_contexts(hashes, rows), rows).select("key", "cell", "doc", "at", "at2", "left", "right", "own", "skip", "leads", "asks", "holds", "words")
     dealt = cells.repartition("key", "cell").sortWithinPartitions("key", "cell", "doc", "at")
-    return dealt.mapInArrow(run, "doc long, at int, at2 int, partner long, pat int, pat2 int, sure boolean")
+    return dealt.mapInArrow(run, "doc long, at int, at2 int, partner long, pat int, pat2 int, sure boolean, alone boolean")
 
 
 def _linked(hashes: DataFrame, links: DataFrame, rows: DataFrame) -> DataFrame:
@@ -561,7 +629,7 @@ def _linked(hashes: DataFrame, links: DataFrame, rows: DataFrame) -> DataFrame:
     documents leaves uncovered stand alone.  Documents with a passage are chained again along all their common places of
     rows (staged), as a passage goes on where places left their comparison to the one before."""
     both = F.array_distinct(F.array(F.struct("at", "pat"), F.struct(F.col("at2").alias("at"), F.col("pat2").alias("pat"))))
-    each = links.select("doc", "partner", F.explode(both).alias("m")).select("doc", "m.at", "partner", "m.pat").distinct()
+    each = links.select("doc", "partner", "alone", F.explode(both).alias("m")).groupBy("doc", "m.at", "partner", "m.pat").agg(F.max("alone").alias("alone"))
     got = stage(_passages(hashes, _chains(each, True), few=True), "further", tidy=True)
     left = stage(_uncovered(links.where("sure"), got, ("at",)), "alone")
     if not left.isEmpty():
@@ -569,9 +637,34 @@ def _linked(hashes: DataFrame, links: DataFrame, rows: DataFrame) -> DataFrame:
     if got.isEmpty():
         return got
     both = got.select("doc", "partner").distinct()
-    mine = _merged(rows.select("doc", "key", "at"), both, "doc")
-    common = _merged(mine, rows.select(F.col("doc").alias("partner"), "key", F.col("at").alias("pat")), ["partner", "key"])
-    return got.union(stage(_passages(hashes, _chains(common.select("doc", "at", "partner", "pat").distinct(), True), few=True), "further"))
+    return got.union(stage(_passages(hashes, _chains(_in_common(rows, both), True), few=True), "further"))
+
+
+def _in_common(rows: DataFrame, both: DataFrame) -> DataFrame:
+    """doc, at, partner, pat: the places of rows (key, doc, at) with one key in both documents of pairs (doc, partner).  A
+    document's places go with a pair as one row, not as many as there are places."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ends = np.cumsum(sum(pc.list_value_length(b.column(k)).to_numpy().astype(np.int64) for k in (2, 3)))
+            i = 0
+            while i < b.num_rows:
+                j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + CHUNK, "right")))
+                own = b.slice(i, j - i)
+                (row, key, at), (prow, pkey, pat) = ((np.repeat(np.arange(j - i), pc.list_value_length(c).to_numpy()), *(x.to_numpy() for x in c.flatten().flatten())) for c in (own.column(2), own.column(3)))
+                keys, code = np.unique(np.concatenate([key, pkey]), return_inverse=True)
+                code, pcode = code[: len(key)] + row * len(keys), code[len(key) :] + prow * len(keys)
+                order = np.argsort(pcode)
+                low, high = (np.searchsorted(pcode[order], code, side) for side in ("left", "right"))
+                x = np.repeat(np.arange(len(code)), high - low)
+                y = order[np.arange(len(x)) - np.repeat(np.cumsum(high - low) - high, high - low)]
+                yield pa.RecordBatch.from_arrays([own.column(0).take(pa.array(row[x])), pa.array(at[x]), own.column(1).take(pa.array(row[x])), pa.array(pat[y])], ["doc", "at", "partner", "pat"])
+                i = j
+
+    wanted = both.select("doc").union(both.select("partner")).distinct()
+    listed = stage(_merged(rows.select("doc", "key", "at"), wanted, "doc", "left_semi").groupBy("doc").agg(F.collect_set(F.struct("key", "at")).alias("places")), "listed")
+    met = _merged(_merged(both, listed, "doc"), listed.select(F.col("doc").alias("partner"), F.col("places").alias("others")), "partner")
+    return met.select("doc", "partner", "places", "others").mapInArrow(run, "doc long, at int, partner long, pat int")
 
 
 def _alone(hashes: DataFrame, left: DataFrame) -> DataFrame:
@@ -595,24 +688,25 @@ def _further(hashes: DataFrame, places: DataFrame, found: DataFrame) -> DataFram
 
 
 def _chains(links: DataFrame, single: bool) -> DataFrame:
-    """doc, partner, a, b (places of a chain's matches); single takes chains of one match too.  Links are
-    sorted by a hash of their pair and read as a stream; the matches of one pair of documents are worked on together."""
+    """doc, partner, a, b (places of a chain's matches); single takes chains of one match too, where links have alone,
+    those of such links.  Links are sorted by a hash of their pair and read as a stream; the matches of one pair of
+    documents are worked on together."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(cols) -> pa.RecordBatch:
-            _, doc, partner, at, pat = cols
+            _, doc, partner, at, pat, fair = cols
             order = np.lexsort((pat, at, partner, doc))
-            doc, partner, at, pat = (c[order] for c in (doc, partner, at, pat))
+            doc, partner, at, pat, fair = (c[order] for c in (doc, partner, at, pat, fair))
             new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (partner[1:] != partner[:-1])])
             first = np.flatnonzero(new)
             sizes = np.diff(np.append(first, len(doc)))
             x, y = np.diff(at), np.diff(pat)
             near = (x > 0) & (y > 0) & (GAP * (x + y) < K)  # where every match gains on the one before, all are one chain
             whole = np.logical_and.reduceat(np.concatenate([[True], new[1:] | near]), first)
-            alone = whole & (sizes > (0 if single else 1))
+            alone = whole & ((sizes > 1) | (single & (fair[first] > 0)))
             members: list[list[int]] = []
             for i, n in zip(first[~whole].tolist(), sizes[~whole].tolist(), strict=True):
-                members += [[i + k for k in own] for own in chain(at[i : i + n], pat[i : i + n]) if single or len(own) > 1]
+                members += [[i + k for k in own] for own in chain(at[i : i + n], pat[i : i + n]) if len(own) > 1 or single and fair[i + own[0]]]
             flat = np.concatenate([np.flatnonzero(np.repeat(alone, sizes)), np.array([i for own in members for i in own], np.int64)])
             ends = np.concatenate([[0], np.cumsum(np.concatenate([sizes[alone], np.array([len(own) for own in members], np.int64)]))]).astype(np.int32)
             head = flat[ends[:-1]]
@@ -623,7 +717,7 @@ def _chains(links: DataFrame, single: bool) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            cols = [c.to_numpy().astype(np.int64) for c in b.columns]
+            cols = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns]
             cols = cols if held is None else [np.concatenate(x) for x in zip(held, cols, strict=True)]
             open_pair = cols[0] == cols[0][-1]
             cut = int(np.flatnonzero(~open_pair)[-1]) + 1 if not open_pair.all() else 0
@@ -633,7 +727,7 @@ def _chains(links: DataFrame, single: bool) -> DataFrame:
         if held is not None:
             yield told(held)
 
-    rows = links.select("doc", "partner", "at", "pat").repartition("doc", "partner").select(F.xxhash64("doc", "partner").alias("pair"), "*").sortWithinPartitions("pair")
+    rows = links.select("doc", "partner", "at", "pat", F.col("alone") if "alone" in links.columns else F.lit(True).alias("alone")).repartition("doc", "partner").select(F.xxhash64("doc", "partner").alias("pair"), "*").sortWithinPartitions("pair")
     return rows.mapInArrow(run, "doc long, partner long, a array<long>, b array<long>")
 
 
@@ -679,10 +773,10 @@ def _parts(hashes: DataFrame, asked: DataFrame) -> DataFrame:
     return _merged(hashes, asked, "doc").select("hashes", "asks").mapInArrow(run, "chain long, side int, start long, words binary")
 
 
-def hopeful(batch: pa.RecordBatch) -> np.ndarray:
+def hopeful(batch: pa.RecordBatch, wide: bool = False) -> np.ndarray:
     """Which rows (columns as _together() gives them) may hold a passage: chains of several seeds, and those of one
     seed whose diagonal has enough equal words, which diagonal() asks too.  All rows at once: each pair of
-    diagonals is one run of bytes of either column, and equal bytes are counted by run."""
+    diagonals is one run of bytes (of pairs of bytes where wide) of either column, and equal ones are counted by run."""
     _, _, a, b, xs, x, ys, y = batch.columns
     out = pc.greater(pc.list_value_length(a), 1).to_numpy(zero_copy_only=False)
     one = np.flatnonzero(~out)
@@ -691,6 +785,8 @@ def hopeful(batch: pa.RecordBatch) -> np.ndarray:
     i, j = (pc.list_element(c.take(pa.array(one)), 0).to_numpy() - s.to_numpy()[one] for c, s in ((a, xs), (b, ys)))
     back = np.minimum(i, j)
     (bx, ox, nx), (by, oy, ny) = map(_bytes, (x.take(pa.array(one)), y.take(pa.array(one))))
+    if wide:
+        bx, ox, nx, by, oy, ny = bx.view(np.uint16), ox // 2, nx // 2, by.view(np.uint16), oy // 2, ny // 2
     size = np.maximum(np.minimum(nx - i, ny - j) + back, 0)
     first = np.concatenate([[0], np.cumsum(size)])
     step = np.arange(first[-1]) - np.repeat(first[:-1], size)
@@ -736,14 +832,15 @@ def _together(rows: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(rows.column(n).take(head) for n in (2, 3, 4, 5)), *(rows.column(n).take(own) for own in (x, y) for n in (6, 7))], ["doc", "partner", "a", "b", "xs", "x", "ys", "y"])
 
 
-def _aligned(rows: DataFrame) -> DataFrame:
+def _aligned(rows: DataFrame, wide: bool = False) -> DataFrame:
     """Passages of chains: doc, start, end, partner, pstart, pend.  rows: chain, side, doc, partner, a, b, start, words;
-    a chain's own row has side -1, then both sides' words follow.  Rows are sorted and read as a stream."""
+    a chain's own row has side -1, then both sides' words follow (wide: two bytes a word also of chains of one seed).  Rows
+    are sorted and read as a stream."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             whole = _together(pa.Table.from_batches(parts).combine_chunks().to_batches()[0])
-            for fit in (hopeful, sharing):
+            for fit in (lambda x: hopeful(x, wide), sharing):
                 whole = whole.filter(pa.array(fit(whole))) if whole.num_rows else whole
             yield from passages(whole)
 
@@ -769,7 +866,7 @@ def _aligned(rows: DataFrame) -> DataFrame:
             ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy()).tolist()
             flat = [batch.column(k).flatten().to_numpy().tolist() for k in (2, 3)]
             for doc, partner, xs, x, ys, y, lo, hi in zip(*(batch.column(k).to_pylist() for k in (0, 1, 4, 5, 6, 7)), [0, *ends[:-1]], ends, strict=True):
-                u, v = (np.frombuffer(w, np.uint8 if hi - lo == 1 else np.uint16) for w in (x, y))
+                u, v = (np.frombuffer(w, np.uint8 if hi - lo == 1 and not wide else np.uint16) for w in (x, y))
                 matches = [(i - xs, j - ys) for i, j in zip(flat[0][lo:hi], flat[1][lo:hi], strict=True)]
                 for s, e, ps, pe in (align(u.tolist(), v.tolist(), matches) if hi - lo > 1 else []) or diagonal(u, v, matches):
                     rows.append((doc, s + xs, e + xs, partner, ps + ys, pe + ys))
@@ -781,22 +878,22 @@ def _aligned(rows: DataFrame) -> DataFrame:
 
 def _passages(hashes: DataFrame, chains: DataFrame, tidy: bool = False, few: bool = False) -> DataFrame:
     """doc, start, end, partner, pstart, pend of the passages along chains as _chains() makes them; few where
-    they concern few of the documents, so that the others' words need not move."""
+    they concern few of the documents, so that the others' words need not move and all are compared by 16 bits."""
     found = stage(chains.withColumn("chain", F.xxhash64("doc", "partner", "a", "b")), "chains", tidy)
     reach = F.when(F.size("a") == 1, WORDS).otherwise(REACH)
-    ask = lambda side, doc, places: found.select(F.col(doc).alias("doc"), F.struct("chain", F.lit(side).alias("side"), (F.element_at(places, 1) - reach).cast("long").alias("start"), (F.element_at(places, -1) + K + reach).cast("long").alias("end"), (F.size("a") == 1).alias("narrow")).alias("ask"))
+    ask = lambda side, doc, places: found.select(F.col(doc).alias("doc"), F.struct("chain", F.lit(side).alias("side"), (F.element_at(places, 1) - reach).cast("long").alias("start"), (F.element_at(places, -1) + K + reach).cast("long").alias("end"), (F.lit(not few) & (F.size("a") == 1)).alias("narrow")).alias("ask"))
     asked = ask(0, "doc", "a").union(ask(1, "partner", "b")).groupBy("doc").agg(F.collect_list("ask").alias("asks"))
     if few:
         asked = stage(asked, "asked")
         hashes = sieve(hashes, asked, "doc")
     own = found.select("chain", F.lit(-1).alias("side"), "doc", "partner", "a", "b")
-    return _aligned(own.unionByName(_parts(hashes, asked), allowMissingColumns=True))
+    return _aligned(own.unionByName(_parts(hashes, asked), allowMissingColumns=True), wide=few)
 
 
 def fuzzy_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, start, end, partner, pstart, pend: word spans of passages that a document shares with an
     earlier one (smaller id).  Words are compared with A-Z lower-cased, by 16 bits of their
-    hashes (8 for chains of one seed), so one word in 65,536 (256) that differs counts as matched.
+    hashes (8 for chains of one seed with the first or the last earlier document), so one word in 65,536 (256) that differs counts as matched.
 
     A passage has at least WORDS words on both sides, PERCENT of 100 matched; of passages with one
     partner, those inside another are left out.  Repeats inside one document are not passages.  Null texts are empty; rows
